@@ -147,7 +147,7 @@ def months_before(date_text: ColumnOrName, n: int | Column, clamp: str = "calend
     reproduces the source helper: target months 1-9 are clipped to the
     length of February of the target year, months 10-12 to their own length.
     """
-    d = F.try_to_date(F.substring(_c(date_text), 1, 10), F.lit("yyyy-MM-dd"))
+    d = F.try_to_date(F.substring(_c(date_text), 1, 10), "yyyy-MM-dd")
     n = n if isinstance(n, Column) else F.lit(int(n))
     shifted = F.add_months(d, -n)
     if clamp == "calendar":
