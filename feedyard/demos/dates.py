@@ -23,11 +23,12 @@ _BAD_TEXT_DUCK = """CASE WHEN o_orderkey % 100 = 0 THEN 'bad' WHEN o_orderkey %
  WHEN o_orderkey % 103 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END"""
 
 
-def bad_date_text(o: DataFrame):
-    k = F.col("o_orderkey")
+def bad_date_text(key="o_orderkey", iso=None):
+    k = F.col(key)
+    good = F.col(iso) if iso else F.date_format("o_orderdate", ISO_FORMAT)
     return (F.when(k % 100 == 0, F.lit("bad")).when(k % 101 == 0, F.lit(""))
             .when(k % 103 == 0, F.lit(None).cast("string"))
-            .otherwise(F.date_format("o_orderdate", ISO_FORMAT)))
+            .otherwise(good))
 
 
 # -- O14 ---------------------------------------------------------------------
@@ -37,7 +38,7 @@ SELECT o_orderkey, v AS value,
   CAST(v IS NOT NULL AND v <> '' AND try_strptime(v, '%Y-%m-%dT%H:%M:%S') IS NULL AS INTEGER) AS malformed
 FROM (SELECT o_orderkey, {_BAD_TEXT_DUCK} AS v FROM orders)""")
 def iso_to_epoch_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _orders(spark, sf_dir).select("o_orderkey", bad_date_text(_orders(spark, sf_dir)).alias("value"))
+    o = _orders(spark, sf_dir).select("o_orderkey", bad_date_text().alias("value"))
     return o.select("o_orderkey", "value", D.iso_to_epoch("value").alias("epoch_s"),
                     D.iso_is_malformed("value").cast("int").alias("malformed"))
 

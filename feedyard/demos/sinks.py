@@ -1 +1,170 @@
-"""Demos (registered on import)."""
+"""Demos: upsert family, rejects, lookups, audit stamps, statements, publish."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from feedyard.demos.feeds import feed_rows, projected
+from feedyard.demos.registry import demo
+from feedyard.operators.project import project_feed
+from feedyard.operators.upsert import (lookup_existing, quarantine, reject_duplicates, run_statement, upsert,
+                                       upsert_stamped)
+from feedyard.session import scratch_path, use_utc
+from feedyard.sinks.table import VersionedTable
+from feedyard.sources.envelopes import build_envelopes, explode_envelope, parse_envelopes
+from feedyard.sources.fixtures import feed_records, order_columns, table
+
+KEYS = ["app_number"]
+ORDER = ["window_start", "page_no", "position"]
+COLS = ["app_number", "registration_date", "end_date", "transaction_type", "usage_", "contract_amount", "no_of_units"]
+CUTOFF = 883612800  # 1998-01-01T00:00:00Z in epoch seconds
+
+
+def rents_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rents from lineitem via landed pages, in arrival order (window, page,
+    position); every 97th order's key is null."""
+    r = projected(spark, sf_dir, "rents")
+    orderkey = F.split(F.col("app_number"), "-").getItem(0).cast("bigint")
+    r = r.withColumn("app_number", F.when(orderkey % 97 == 0, F.lit(None).cast("string")).otherwise(F.col("app_number")))
+    return r.select(*COLS, *ORDER)
+
+
+def target_and_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    r = rents_rows(spark, sf_dir)
+    return r.filter(F.col("registration_date") < CUTOFF), r.filter(F.col("registration_date") >= CUTOFF)
+
+
+# The same rows in DuckDB; o1..o6 is the arrival order.
+_RENTS_DUCK = """
+r AS (SELECT CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE concat(l_orderkey, '-', l_linenumber) END AS app_number,
+  CAST(epoch(l_shipdate) AS BIGINT) AS registration_date, CAST(epoch(l_shipdate + INTERVAL 365 DAY) AS BIGINT) AS end_date,
+  l_returnflag AS transaction_type, l_linestatus AS usage_,
+  CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) AS contract_amount,
+  CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS no_of_units,
+  date_trunc('month', l_shipdate) AS o1, l_orderkey AS o2, l_linenumber AS o3, l_partkey AS o4, l_suppkey AS o5,
+  l_shipdate AS o6
+  FROM lineitem),
+t AS (SELECT * FROM r WHERE o6 < TIMESTAMP '1998-01-01'),
+b AS (SELECT * FROM r WHERE o6 >= TIMESTAMP '1998-01-01')"""
+_C = ", ".join(COLS)
+_ASC = "o1, o2, o3, o4, o5, o6"
+_DESC = "o1 DESC, o2 DESC, o3 DESC, o4 DESC, o5 DESC, o6 DESC"
+
+
+# -- O25 ---------------------------------------------------------------------
+_REPLACE_DUCK = f"""
+WITH {_RENTS_DUCK},
+bl AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY app_number ORDER BY {_DESC}) AS rn
+                      FROM b WHERE app_number IS NOT NULL) WHERE rn = 1)
+SELECT {_C} FROM t WHERE app_number IS NULL OR NOT EXISTS (SELECT 1 FROM bl WHERE bl.app_number = t.app_number)
+UNION ALL SELECT {_C} FROM bl
+UNION ALL SELECT {_C} FROM b WHERE app_number IS NULL"""
+
+
+@demo("upsert_replace", _REPLACE_DUCK)
+def upsert_replace_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, b = target_and_batch(spark, sf_dir)
+    return upsert(t, b, KEYS, ORDER, mode="replace").select(*COLS)
+
+
+# -- O26 ---------------------------------------------------------------------
+@demo("upsert_keep", f"""
+WITH {_RENTS_DUCK},
+bf AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY app_number ORDER BY {_ASC}) AS rn
+                      FROM b WHERE app_number IS NOT NULL) WHERE rn = 1)
+SELECT {_C} FROM t
+UNION ALL SELECT {_C} FROM bf WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.app_number = bf.app_number)
+UNION ALL SELECT {_C} FROM b WHERE app_number IS NULL""")
+def upsert_keep_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, b = target_and_batch(spark, sf_dir)
+    return upsert(t, b, KEYS, ORDER, mode="keep").select(*COLS)
+
+
+# -- O27 ---------------------------------------------------------------------
+@demo("reject_duplicates", f"""
+WITH {_RENTS_DUCK},
+rk AS (SELECT *, row_number() OVER (PARTITION BY app_number ORDER BY {_ASC}) AS rn FROM b WHERE app_number IS NOT NULL)
+SELECT {_C}, 'Duplicate item found: app_number<' || app_number || '>' AS reason
+FROM rk WHERE EXISTS (SELECT 1 FROM t WHERE t.app_number = rk.app_number) OR rn > 1""")
+def reject_duplicates_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, b = target_and_batch(spark, sf_dir)
+    return reject_duplicates(t, b, KEYS, ORDER).select(*COLS, "reason")
+
+
+# Transactions whose INSTANCE_DATE text is 'bad' every 100th key ('' every
+# 101st and null every 103rd are blanks, not errors).
+@demo("quarantine", """
+SELECT CAST(o_orderkey AS VARCHAR) AS TRANSACTION_NUMBER, 'malformed date INSTANCE_DATE=<bad>' AS reason
+FROM orders WHERE o_orderkey % 100 = 0""")
+def quarantine_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedyard.demos.dates import bad_date_text
+    use_utc(spark)
+    recs = feed_records(spark, sf_dir, "transactions")
+    recs = recs.withColumn("INSTANCE_DATE", bad_date_text(key="_o0", iso="INSTANCE_DATE"))
+    rows = explode_envelope(parse_envelopes(build_envelopes(recs, "transactions", order_columns("transactions")),
+                                            "transactions"))
+    return quarantine(rows, "transactions").select("TRANSACTION_NUMBER", "reason")
+
+
+# -- O28 ---------------------------------------------------------------------
+@demo("lookup_existing", f"""
+WITH {_RENTS_DUCK}
+SELECT {_C} FROM t WHERE EXISTS (SELECT 1 FROM b WHERE b.app_number = t.app_number)""")
+def lookup_existing_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, b = target_and_batch(spark, sf_dir)
+    return lookup_existing(t, b, KEYS).select(*COLS)
+
+
+# -- O29 ---------------------------------------------------------------------
+T1, T2 = dt.datetime(2024, 5, 1, 8, 0, 0), dt.datetime(2024, 6, 1, 8, 0, 0)
+
+
+@demo("stamp", f"""
+WITH {_RENTS_DUCK},
+bl AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY app_number ORDER BY {_DESC}) AS rn
+                      FROM b WHERE app_number IS NOT NULL) WHERE rn = 1)
+SELECT {_C}, 'run-1' AS _tid, '2024-05-01 08:00:00' AS created_at, '2024-05-01 08:00:00' AS updated_at
+FROM t WHERE app_number IS NULL OR NOT EXISTS (SELECT 1 FROM bl WHERE bl.app_number = t.app_number)
+UNION ALL
+SELECT {_C}, 'run-2' AS _tid,
+  CASE WHEN EXISTS (SELECT 1 FROM t WHERE t.app_number = bl.app_number) THEN '2024-05-01 08:00:00'
+       ELSE '2024-06-01 08:00:00' END AS created_at, '2024-06-01 08:00:00' AS updated_at
+FROM bl
+UNION ALL
+SELECT {_C}, 'run-2', '2024-06-01 08:00:00', '2024-06-01 08:00:00' FROM b WHERE app_number IS NULL""")
+def stamp_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedyard.operators.upsert import stamp
+    use_utc(spark)
+    t, b = target_and_batch(spark, sf_dir)
+    first = stamp(t, "run-1", T1)
+    after = upsert_stamped(first, b, KEYS, ORDER, "run-2", T2)
+    return after.select(*COLS, "_tid", F.col("created_at").cast("string").alias("created_at"),
+                        F.col("updated_at").cast("string").alias("updated_at"))
+
+
+# -- O33 ---------------------------------------------------------------------
+_STATEMENT = """
+SELECT l_returnflag AS flag, l_linestatus AS status, count(*) AS n_rows,
+       CAST(sum(l_quantity) AS BIGINT) AS qty, CAST(sum(round(l_extendedprice * 100)) AS BIGINT) AS cents
+FROM {li} WHERE l_shipdate >= :since GROUP BY l_returnflag, l_linestatus"""
+
+
+@demo("run_statement", _STATEMENT.replace("{li}", "lineitem").replace(":since", "DATE '1997-01-01'"))
+def run_statement_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_statement(spark, _STATEMENT, {"since": dt.date(1997, 1, 1)}, {"li": table(spark, sf_dir, "lineitem")})
+
+
+# -- O32 ---------------------------------------------------------------------
+@demo("write_then_read", _REPLACE_DUCK)
+def write_then_read_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the target (initial load, as is), then the batch (replace);
+    read the newest version back: equals ``upsert_replace``."""
+    t, b = target_and_batch(spark, sf_dir)
+    table_ = VersionedTable(spark, scratch_path(spark, "tables"), KEYS, n_buckets=16)
+    table_.publish(t, mode="append", batch_id="initial")
+    table_.publish(b, order=ORDER, mode="replace", batch_id="batch-1")
+    table_.publish(b, order=ORDER, mode="replace", batch_id="batch-1")  # a replay changes nothing
+    return table_.read().select(*COLS)
