@@ -1 +1,67 @@
-"""Demos (registered on import)."""
+"""Demos: incremental ingest and streaming de-duplication."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from feedyard.demos.feeds import envelope_pages
+from feedyard.demos.registry import demo
+from feedyard.session import scratch_path, use_utc
+from feedyard.sinks.table import VersionedTable
+from feedyard.sources.envelopes import land_envelopes
+from feedyard.sources.fixtures import table
+from feedyard.streaming.ingest import stream_dedupe, stream_ingest
+
+COLS = ["app_number", "registration_date", "end_date", "transaction_type", "usage_", "contract_amount", "no_of_units"]
+
+
+# -- O42 ---------------------------------------------------------------------
+@demo("stream_ingest", """
+SELECT app_number, registration_date, end_date, transaction_type, usage_, contract_amount, no_of_units
+FROM (SELECT concat(l_orderkey, '-', l_linenumber) AS app_number,
+        CAST(epoch(l_shipdate) AS BIGINT) AS registration_date,
+        CAST(epoch(l_shipdate + INTERVAL 365 DAY) AS BIGINT) AS end_date,
+        l_returnflag AS transaction_type, l_linestatus AS usage_,
+        CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) AS contract_amount,
+        CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS no_of_units,
+        row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                           ORDER BY date_trunc('month', l_shipdate) DESC, l_partkey DESC, l_suppkey DESC,
+                                    l_shipdate DESC) AS rn
+      FROM lineitem)
+WHERE rn = 1""")
+def stream_ingest_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rents pages land as files; the stream publishes them into a keyed
+    table; reading the table equals the batch upsert of the same rows."""
+    use_utc(spark)
+    landed = scratch_path(spark, "landed")
+    land_envelopes(envelope_pages(spark, sf_dir, "rents", terminator=True), landed)
+    tbl = VersionedTable(spark, scratch_path(spark, "tables"), ["app_number"], n_buckets=16)
+    q = stream_ingest(spark, f"{landed}/feed=rents", "rents", tbl, checkpoint=scratch_path(spark, "checkpoints"),
+                      rejects_dir=scratch_path(spark, "rejects"))
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return tbl.read().select(*COLS)
+
+
+# -- O43 ---------------------------------------------------------------------
+@demo("stream_dedupe", """
+SELECT DISTINCT event_id, user_id, event_type, epoch_us(ts) AS ts_us FROM events""")
+def stream_dedupe_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event delivered twice; the stream keeps one copy of each."""
+    use_utc(spark)
+    events = table(spark, sf_dir, "events")
+    src = scratch_path(spark, "stream-in")
+    events.write.parquet(src)
+    events.write.mode("append").parquet(src)  # the second delivery
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "checkpoints")
+    stream = spark.readStream.schema(events.schema).parquet(src)
+    deduped = stream_dedupe(stream, ["event_id"], "ts", "1 hour").select(
+        "event_id", "user_id", "event_type", F.unix_micros("ts").alias("ts_us"))
+    q = (deduped.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return spark.read.parquet(out)
