@@ -44,6 +44,31 @@ def _key_frame(df: DataFrame, keys: Sequence[str], prefix: str = "_k_") -> DataF
     return df.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys])
 
 
+def _split_null(df: DataFrame, keys: Sequence[str], null_safe: bool) -> tuple[DataFrame, DataFrame | None]:
+    """(rows that can match, rows with a null key or None).
+
+    Under ``=`` a null key never matches, so those rows go around the join:
+    an anti/semi join does not drop them before the shuffle, and all nulls
+    hash to one task.
+    """
+    if null_safe:
+        return df, None
+    return df.filter(~_any_null(keys)), df.filter(_any_null(keys))
+
+
+def _anti(left: DataFrame, right_keys: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """left rows whose key is not in right_keys (a ``_key_frame``); null keys kept."""
+    matchable, nulls = _split_null(left, keys, null_safe)
+    out = matchable.join(right_keys, on=_key_cond(matchable, right_keys, keys, "_k_", null_safe), how="left_anti")
+    return out if nulls is None else out.unionByName(nulls)
+
+
+def _semi(left: DataFrame, right_keys: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """left rows whose key is in right_keys; a null key never matches."""
+    matchable, _ = _split_null(left, keys, null_safe)
+    return matchable.join(right_keys, on=_key_cond(matchable, right_keys, keys, "_k_", null_safe), how="left_semi")
+
+
 # -- batch reduction -----------------------------------------------------------
 def reduce_batch(batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column], keep: str = "last",
                  null_safe: bool = False) -> DataFrame:
@@ -78,13 +103,13 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequ
     keys = list(keys)
     if mode == "replace":
         b = reduce_batch(batch, keys, order, "last", null_safe)
-        bk = _key_frame(b, keys)
-        kept = target.join(bk, on=_key_cond(target, bk, keys, "_k_", null_safe), how="left_anti")
+        bk = _key_frame(_split_null(b, keys, null_safe)[0], keys)
+        kept = _anti(target, bk, keys, null_safe)
         return kept.unionByName(b.select(*target.columns))
     if mode == "keep":
         b = reduce_batch(batch, keys, order, "first", null_safe)
-        tk = _key_frame(target, keys)
-        new = b.join(tk, on=_key_cond(b, tk, keys, "_k_", null_safe), how="left_anti")
+        tk = _key_frame(_split_null(target, keys, null_safe)[0], keys)
+        new = _anti(b, tk, keys, null_safe)
         return target.unionByName(new.select(*target.columns))
     raise ValueError("mode must be 'replace' or 'keep'")
 
@@ -101,11 +126,10 @@ def reject_duplicates(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     """Batch rows refused in ``keep`` mode, with the reason: the key is in the
     target already, or an earlier batch row took it."""
     keys = list(keys)
-    tk = _key_frame(target, keys)
-    in_target = batch.join(tk, on=_key_cond(batch, tk, keys, "_k_", null_safe), how="left_semi")
-    fresh = batch.join(tk, on=_key_cond(batch, tk, keys, "_k_", null_safe), how="left_anti")
-    if not null_safe:
-        fresh = fresh.filter(~_any_null(keys))
+    tk = _key_frame(_split_null(target, keys, null_safe)[0], keys)
+    matchable = _split_null(batch, keys, null_safe)[0]  # a null-key row is never a duplicate
+    in_target = _semi(matchable, tk, keys, null_safe)
+    fresh = matchable.join(tk, on=_key_cond(matchable, tk, keys, "_k_", null_safe), how="left_anti")
     ord_struct = _order_struct(order)
     firsts = fresh.groupBy(*keys).agg(F.min(ord_struct).alias("_first"))
     firsts = firsts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_first")
@@ -126,8 +150,8 @@ def lookup_existing(target: DataFrame, batch: DataFrame, keys: Sequence[str], nu
     """Target rows whose key occurs in the batch: one semi join for the whole
     batch instead of one lookup per item. AQE broadcasts the key side when
     its measured size is small."""
-    bk = _key_frame(batch, keys)
-    return target.join(bk, on=_key_cond(target, bk, keys, "_k_", null_safe), how="left_semi")
+    bk = _key_frame(_split_null(batch, keys, null_safe)[0], keys)
+    return _semi(target, bk, keys, null_safe)
 
 
 # -- O29 -------------------------------------------------------------------------
@@ -155,8 +179,8 @@ def upsert_stamped(target: DataFrame, batch: DataFrame, keys: Sequence[str], ord
     """``upsert(replace)`` whose new rows carry the run's audit stamps."""
     b = reduce_batch(batch, keys, order, "last", null_safe)
     stamped = stamp(b, run_id, as_of, previous=lookup_existing(target, b, keys, null_safe), keys=keys)
-    tk = _key_frame(stamped, keys)
-    kept = target.join(tk, on=_key_cond(target, tk, keys, "_k_", null_safe), how="left_anti")
+    sk = _key_frame(_split_null(stamped, keys, null_safe)[0], keys)
+    kept = _anti(target, sk, keys, null_safe)
     return kept.unionByName(stamped.select(*target.columns))
 
 
