@@ -14,7 +14,8 @@ from feedyard.sources.fixtures import feed_records, order_columns, table
 
 
 def _rows(df, cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    return sorted((tuple(r) for r in df.select(*cols).collect()),
+                  key=lambda t: tuple((v is not None, v if v is not None else "") for v in t))
 
 
 def test_round_trip_through_landed_files(spark):
