@@ -9,15 +9,26 @@ from feedyard.demos.registry import demo
 from feedyard.operators.project import conform, project_feed, saved_fields, to_wide
 from feedyard.schema import FEEDS, WIDE_COLUMNS, feed as get_feed
 from feedyard.session import scratch_path, use_utc
-from feedyard.sources.envelopes import build_envelopes, explode_envelope, land_envelopes, parse_envelopes, read_envelopes
-from feedyard.sources.fixtures import FIXTURES, feed_records, oracle_projection, order_columns
+from feedyard.operators.paging import assign_pages
+from feedyard.sources.envelopes import (envelopes_from_pages, explode_envelope, land_envelopes, parse_envelopes,
+                                        read_envelopes)
+from feedyard.sources.fixtures import (FIXTURES, oracle_projection, order_columns, record_columns, table,
+                                       window_and_order)
 
 
 def envelope_pages(spark: SparkSession, sf_dir: str, feed: str, terminator: bool = False) -> DataFrame:
-    """Page documents for a feed, built from its base table (what a fetcher lands)."""
+    """Page documents for a feed, built from its base table (what a fetcher lands).
+
+    Pages are assigned on the raw rows (only window and order keys are
+    computed before the range shuffle); the records are formatted after it,
+    in parallel and once.
+    """
     use_utc(spark)
-    recs = feed_records(spark, sf_dir, feed)
-    return build_envelopes(recs, feed, order=order_columns(feed), terminator=terminator)
+    base = table(spark, sf_dir, FIXTURES[feed].table)
+    staged = base.select("*", *window_and_order(feed))
+    paged = assign_pages(staged, by=["window_start"], order=order_columns(feed))
+    records = paged.select(*record_columns(feed), "window_start", "page_no", "position")
+    return envelopes_from_pages(records, feed, terminator=terminator)
 
 
 def feed_rows(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
@@ -47,7 +58,7 @@ for _f in FEEDS:
 # -- O1: read landed page documents back from storage ------------------------
 @demo("scan_envelopes", """
 SELECT 'transactions' AS feed, count(*) AS n_records, count(DISTINCT o_orderkey) AS n_keys,
-       sum(o_orderkey) AS key_sum, count(DISTINCT date_trunc('month', o_orderdate)) AS n_windows
+       CAST(sum(o_orderkey) AS BIGINT) AS key_sum, count(DISTINCT date_trunc('month', o_orderdate)) AS n_windows
 FROM orders""")
 def scan_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landed")
@@ -114,7 +125,6 @@ FROM documents"""
 
 
 def _doc_brokers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from feedyard.sources.fixtures import table
     docs = table(spark, sf_dir, "documents")
     return docs.select(
         F.lit("brokers").alias("feed"), F.col("doc_id").cast("string").alias("broker_number"),

@@ -68,17 +68,18 @@ def month_windows(start: ColumnOrName, end: ColumnOrName) -> Column:
 
     Windows are half-open [start, end) except the last, which is closed, so
     adjacent windows never share a day. start >= end gives no window.
+    Pairs come from ``zip_with`` over two slices of the boundary array, so
+    the array is built once per row, not once per element.
     """
+    e = _date(end)
     b = month_boundaries(start, end)
     n = F.size(b) - 1
-    return F.transform(
-        F.slice(b, 1, F.greatest(n, F.lit(0))),
-        lambda x, i: F.struct(
-            x.alias("window_start"),
-            F.element_at(b, i + 2).alias("window_end"),
-            (i == n - 1).alias("is_last"),
-        ),
+    pairs = F.zip_with(
+        F.slice(b, 1, F.greatest(n, F.lit(1))), F.slice(b, 2, F.greatest(n, F.lit(1))),
+        lambda ws, we: F.struct(ws.alias("window_start"), we.alias("window_end"), (we == e).alias("is_last")),
     )
+    empty = F.array().cast("array<struct<window_start:date,window_end:date,is_last:boolean>>")
+    return F.when(n > 0, pairs).otherwise(empty)
 
 
 # -- O16 ---------------------------------------------------------------------

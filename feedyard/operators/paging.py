@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from feedyard.schema import MAX_ATTEMPTS, MAX_PAGES, PAGE_SIZE
 
 _LOW33 = (1 << 33) - 1  # monotonically_increasing_id keeps the row index in the low 33 bits
+# Largest group one task may sort for a row number (rows). Above it, or when
+# numbering a whole table, the range-partitioned path is taken.
+MAX_GROUP_ROWS = 2_000_000
 
 
 def _cols(names: Sequence[str] | str | None) -> list[str]:
@@ -24,11 +27,16 @@ def _cols(names: Sequence[str] | str | None) -> list[str]:
 
 # -- O10 ---------------------------------------------------------------------
 def row_numbers(df: DataFrame, by: Sequence[str] | str | None, order: Sequence[str | Column],
-                out: str = "rn", num_partitions: int | None = None) -> DataFrame:
-    """1-based row number per ``by`` group in ``order``, without a per-group sort.
-
-    A ``Window.partitionBy(by)`` would sort each group in one task, and one
-    group may hold a third of the table. Instead rows are range-partitioned on
+                out: str = "rn", num_partitions: int | None = None,
+                max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """1-based row number per ``by`` group in ``order``.
+
+    The strategy follows a measured size. One aggregate (with a map-side
+    partial step) finds the largest group; if it holds at most
+    ``max_group_rows`` rows, a ``Window.partitionBy(by)`` row number is used:
+    one shuffle, each group sorted in one task, which is safe because the
+    group's size is known to be bounded. Otherwise (a group may hold a third
+    of the table, or there is no ``by`` at all) rows are range-partitioned on
     (by, order) so every task holds a contiguous slice of the global order;
     each task's rows are numbered locally, and a small table of
     (group, partition) counts turns local numbers into group numbers. That
@@ -40,23 +48,28 @@ def row_numbers(df: DataFrame, by: Sequence[str] | str | None, order: Sequence[s
 
     The locally numbered rows are read twice (counts, then numbers), and a
     range exchange planned twice samples different bounds, so they are
-    checkpointed (eagerly, to the shared checkpoint folder) in between: one
-    range shuffle, one write, and executor loss after that point costs no
-    recomputation.
+    written once as a Parquet table in the shared work folder
+    (``spark.checkpoint.dir``) and read back: this cuts the lineage, keeps
+    partition and position as plain columns, and survives executor loss.
     """
-    from feedyard.session import shared_dir
+    from feedyard.session import scratch_path
 
     by = _cols(by)
-    sort_cols = [F.col(c) for c in by] + [F.col(c) if isinstance(c, str) else c for c in order]
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shared_dir(df.sparkSession)  # make sure a checkpoint folder is set
-    local = (
-        df.repartitionByRange(n, *sort_cols)
-        .sortWithinPartitions(*sort_cols)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_idx", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)))
-        .checkpoint(eager=True)
-    )
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    if by and max_group_rows:
+        biggest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).first()["m"]
+        if biggest is None or biggest <= max_group_rows:
+            return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order_cols)).cast("bigint"))
+    sort_cols = [F.col(c) for c in by] + order_cols
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "row-numbers")
+    (df.repartitionByRange(n, *sort_cols)
+       .sortWithinPartitions(*sort_cols)
+       .withColumn("_pid", F.spark_partition_id())
+       .withColumn("_idx", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)))
+       .write.parquet(path))
+    local = spark.read.parquet(path)
     counts = local.groupBy(*by, "_pid").agg(F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
@@ -66,10 +79,11 @@ def row_numbers(df: DataFrame, by: Sequence[str] | str | None, order: Sequence[s
 
 
 def assign_pages(df: DataFrame, by: Sequence[str] | str | None, order: Sequence[str | Column],
-                 size: int = PAGE_SIZE, num_partitions: int | None = None) -> DataFrame:
+                 size: int = PAGE_SIZE, num_partitions: int | None = None,
+                 max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Page number and position for every row at once: the page a crawler
     would fetch the row on with ``P_SKIP = page * size`` under this sort."""
-    numbered = row_numbers(df, by, order, out="rn", num_partitions=num_partitions)
+    numbered = row_numbers(df, by, order, out="rn", num_partitions=num_partitions, max_group_rows=max_group_rows)
     return numbered.withColumn("page_no", F.floor((F.col("rn") - 1) / F.lit(size)).cast("bigint")).withColumn(
         "position", ((F.col("rn") - 1) % F.lit(size)).cast("int"))
 

@@ -111,7 +111,16 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequ
         tk = _key_frame(_split_null(target, keys, null_safe)[0], keys)
         new = _anti(b, tk, keys, null_safe)
         return target.unionByName(new.select(*target.columns))
-    raise ValueError("mode must be 'replace' or 'keep'")
+    if mode == "newest":
+        # like replace, but a target row later in ``order`` than every batch
+        # row of its key survives: the result does not depend on how rows
+        # were split into batches (micro-batches may arrive out of order)
+        b = batch.select(*target.columns)
+        bk = _key_frame(_split_null(b, keys, null_safe)[0], keys)
+        contenders = _semi(target, bk, keys, null_safe).unionByName(b)
+        untouched = _anti(target, bk, keys, null_safe)
+        return untouched.unionByName(reduce_batch(contenders, keys, order, "last", null_safe))
+    raise ValueError("mode must be 'replace', 'keep' or 'newest'")
 
 
 # -- O27 -------------------------------------------------------------------------

@@ -80,23 +80,15 @@ def explode_envelope(pages: DataFrame) -> DataFrame:
 
 
 # -- landing: the inverse of O1/O2, used for fixtures and round trips ---------
-def build_envelopes(records: DataFrame, feed: str | Feed, order: Sequence[str | Column],
-                    window: str | None = "window_start", size: int = PAGE_SIZE,
-                    terminator: bool = False) -> DataFrame:
-    """Group records into page documents as the service would serve them.
-
-    ``records`` holds the feed's source fields (text) plus the window and
-    sort columns. Pages are numbered per window in ``order`` (see
-    ``assign_pages``); each page holds at most ``size`` records, so the
-    per-page ``collect_list`` is bounded. With ``terminator`` each window
-    also gets the empty page a crawler stops at.
-    """
+def envelopes_from_pages(paged: DataFrame, feed: str | Feed, window: str = "window_start",
+                         terminator: bool = False) -> DataFrame:
+    """Group records that already carry ``page_no``/``position`` (see
+    ``assign_pages``) into page documents. Each page holds a bounded number
+    of records, so the per-page ``collect_list`` is bounded. With
+    ``terminator`` each window also gets the empty page a crawler stops at."""
     f = get_feed(feed) if isinstance(feed, str) else feed
-    win = F.col(window) if window else F.lit(None).cast("date")
-    staged = records.withColumn("_win", win)
-    paged = assign_pages(staged, by=["_win"], order=order, size=size)
-    fields = [F.col(c) for c in f.source_fields if c in records.columns]
-    pages = paged.groupBy("_win", "page_no").agg(
+    fields = [F.col(c) for c in f.source_fields if c in paged.columns]
+    pages = paged.groupBy(F.col(window).alias("_win"), "page_no").agg(
         F.sort_array(F.collect_list(F.struct(F.col("position"), F.struct(*fields).alias("rec")))).alias("_recs"))
     pages = pages.select("_win", "page_no", F.transform("_recs", lambda x: x["rec"]).alias("_result"))
     if terminator:
@@ -113,6 +105,17 @@ def build_envelopes(records: DataFrame, feed: str | Feed, order: Sequence[str |
                         doc.alias("value"))
 
 
+def build_envelopes(records: DataFrame, feed: str | Feed, order: Sequence[str | Column],
+                    window: str | None = "window_start", size: int = PAGE_SIZE,
+                    terminator: bool = False) -> DataFrame:
+    """Group records into page documents as the service would serve them:
+    pages numbered per window in ``order`` (``assign_pages``), at most
+    ``size`` records each."""
+    win = F.col(window) if window else F.lit(None).cast("date")
+    paged = assign_pages(records.withColumn("_win", win), by=["_win"], order=order, size=size)
+    return envelopes_from_pages(paged, feed, window="_win", terminator=terminator)
+
+
 def land_envelopes(pages: DataFrame, path: str) -> str:
     """Write page documents as JSON Lines text, one folder per feed."""
     pages.select("feed", "value").write.mode("errorifexists").partitionBy("feed").text(path)

@@ -117,20 +117,28 @@ FIXTURES: dict[str, FeedFixture] = {
 }
 
 
-def feed_records(spark: SparkSession, sf_dir: str, feed: str, source: DataFrame | None = None) -> DataFrame:
-    """The feed's source records as the service would serve them: every
-    field text, dates as ISO text; plus ``window_start`` and the order columns."""
-    fx = FIXTURES[feed]
-    base = source if source is not None else table(spark, sf_dir, fx.table)
+def record_columns(feed: str) -> list:
+    """The feed's source fields as the service serves them: text, dates as ISO text."""
     cols = []
-    for fld in fx.fields:
+    for fld in FIXTURES[feed].fields:
         if fld.is_date:
             cols.append(F.date_format(F.expr(fld.spark), ISO_FORMAT).alias(fld.source))
         else:
             cols.append(F.expr(fld.spark).cast("string").alias(fld.source))
+    return cols
+
+
+def window_and_order(feed: str) -> list:
+    """``window_start`` and the order columns ``_o0.._oN`` of a feed's records."""
+    fx = FIXTURES[feed]
     win = F.expr(fx.window) if fx.window else F.lit(None).cast("date")
-    order = [F.expr(o).alias(f"_o{i}") for i, o in enumerate(fx.order)]
-    return base.select(*cols, win.cast("date").alias("window_start"), *order)
+    return [win.cast("date").alias("window_start")] + [F.expr(o).alias(f"_o{i}") for i, o in enumerate(fx.order)]
+
+
+def feed_records(spark: SparkSession, sf_dir: str, feed: str, source: DataFrame | None = None) -> DataFrame:
+    """The feed's source records plus ``window_start`` and the order columns."""
+    base = source if source is not None else table(spark, sf_dir, FIXTURES[feed].table)
+    return base.select(*record_columns(feed), *window_and_order(feed))
 
 
 def order_columns(feed: str) -> list[str]:

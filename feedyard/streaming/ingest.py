@@ -27,11 +27,15 @@ ARRIVAL = ("window_start", "page_no", "position")
 
 def stream_ingest(spark: SparkSession, in_dir: str, feed: str, table: VersionedTable, checkpoint: str,
                   rejects_dir: str | None = None, available_now: bool = True,
-                  max_files_per_trigger: int | None = None, query_name: str | None = None) -> StreamingQuery:
+                  max_files_per_trigger: int | None = None, query_name: str | None = None,
+                  mode: str = "newest") -> StreamingQuery:
     """Start the ingest stream; returns the running query.
 
     With ``available_now`` the query processes what has landed and stops
-    (``trigger(availableNow=True)``), which suits scheduled runs.
+    (``trigger(availableNow=True)``), which suits scheduled runs. ``mode``
+    ``newest`` (default) keeps, per key, the row latest in arrival order
+    (window, page, position) whatever micro-batch it came in; ``replace``
+    lets a later micro-batch win, as the one-item-at-a-time source does.
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
@@ -40,14 +44,19 @@ def stream_ingest(spark: SparkSession, in_dir: str, feed: str, table: VersionedT
     name = query_name or f"ingest_{feed}"
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        pages = parse_envelopes(batch, feed)
-        rows = explode_envelope(pages)
-        good, bad_rows = split_malformed(rows, feed)
-        table.publish(project_feed(good, feed), order=list(ARRIVAL), mode="replace", batch_id=f"{name}:{batch_id}")
-        if rejects_dir:
-            rejected = bad_rows.select("feed", F.to_json(F.struct(*[c for c in bad_rows.columns if c != "reason"]))
-                                       .alias("raw"), "reason").unionByName(bad_envelopes(pages))
-            rejected.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(rejects_dir)
+        # one micro-batch is read by several actions (bucket ids, publish,
+        # rejects): decode it once; a lost block is recomputed from the files
+        pages = parse_envelopes(batch, feed).persist()
+        try:
+            rows = explode_envelope(pages)
+            good, bad_rows = split_malformed(rows, feed)
+            table.publish(project_feed(good, feed), order=list(ARRIVAL), mode=mode, batch_id=f"{name}:{batch_id}")
+            if rejects_dir:
+                raw = F.to_json(F.struct(*[c for c in bad_rows.columns if c != "reason"])).alias("raw")
+                rejected = bad_rows.select("feed", raw, "reason").unionByName(bad_envelopes(pages))
+                rejected.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(rejects_dir)
+        finally:
+            pages.unpersist()
 
     writer = landed.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(publish)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
