@@ -25,11 +25,18 @@ CUTOFF = 883612800  # 1998-01-01T00:00:00Z in epoch seconds
 
 def rents_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rents from lineitem via landed pages, in arrival order (window, page,
-    position); every 97th order's key is null."""
+    position); every 97th order's key is null.
+
+    Written once as a table in the shared work folder, as the ingest step
+    would leave it, so the target and the batch (and every join branch that
+    reads them) scan it instead of re-running the landing path.
+    """
     r = projected(spark, sf_dir, "rents")
     orderkey = F.split(F.col("app_number"), "-").getItem(0).cast("bigint")
     r = r.withColumn("app_number", F.when(orderkey % 97 == 0, F.lit(None).cast("string")).otherwise(F.col("app_number")))
-    return r.select(*COLS, *ORDER)
+    path = scratch_path(spark, "rents-rows")
+    r.select(*COLS, *ORDER).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def target_and_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
