@@ -157,3 +157,68 @@ def test_resolve_attempts_golden(spark):
         .withColumn("window_start", F.lit(None).cast("date"))
     kept = resolve_attempts(att).collect()
     assert [(r.page_no, r.attempt) for r in kept] == [(0, 3)]
+
+
+def test_upsert_newest_ignores_batch_boundaries(spark):
+    target = _kv(spark, [("1", "late", 9), ("2", "x", 1)])
+    batch = _kv(spark, [("1", "early", 3), ("2", "y", 5), ("3", "z", 2)])
+    out = upsert(target, batch, ["k"], ["seq"], mode="newest")
+    assert sorted((r.k, r.v) for r in out.collect()) == [("1", "late"), ("2", "y"), ("3", "z")]
+
+
+def test_request_plan_bodies(spark):
+    from feedyard.plans.requests import request_plan, select_feeds
+    windows = spark.createDataFrame([(d(2024, 1, 1), d(2024, 2, 1)), (d(2024, 2, 1), d(2024, 2, 15))],
+                                    "window_start date, window_end date")
+    dated = request_plan(select_feeds(spark).filter(F.col("feed") == "transactions"), windows, max_pages=2).collect()
+    assert len(dated) == 4
+    first = sorted(dated, key=lambda r: (r.window_start, r.page_no))[1]
+    assert first.skip == 100 and first.take == 100
+    assert first.body == ('{"P_GROUP_ID":"","P_IS_OFFPLAN":"","P_IS_FREE_HOLD":"","P_AREA_ID":"","P_USAGE_ID":"",'
+                          '"P_PROP_TYPE_ID":"","P_FROM_DATE":"01/01/2024","P_TO_DATE":"02/01/2024","P_TAKE":"100",'
+                          '"P_SKIP":"100","P_SORT":"TRANSACTION_NUMBER_ASC"}')
+    # a snapshot feed is planned once, without dates, whatever the windows
+    units = request_plan(select_feeds(spark, "units"), windows, max_pages=3).collect()
+    assert len(units) == 3 and all(r.window_start is None for r in units)
+    assert '"P_IS_FREE_HOLD":"1"' in units[0].body and "P_FROM_DATE" not in units[0].body
+
+
+def test_assign_windows_closed_last_day_on_month_start(spark):
+    from feedyard.operators.windows import assign_windows, windows_between
+    spans = spark.createDataFrame([(d(2024, 4, 10), d(2024, 6, 1))], "start date, end date")
+    windows = windows_between(spans)
+    recs = spark.createDataFrame([(1, d(2024, 4, 10)), (2, d(2024, 4, 30)), (3, d(2024, 5, 1)), (4, d(2024, 5, 31)),
+                                  (5, d(2024, 6, 1)), (6, d(2024, 6, 2)), (7, d(2024, 4, 9))], "id int, d date")
+    got = {r.id: (r.window_start, r.window_end) for r in assign_windows(recs, "d", windows).collect()}
+    assert got == {1: (d(2024, 4, 10), d(2024, 5, 1)), 2: (d(2024, 4, 10), d(2024, 5, 1)),
+                   3: (d(2024, 5, 1), d(2024, 6, 1)), 4: (d(2024, 5, 1), d(2024, 6, 1)),
+                   5: (d(2024, 5, 1), d(2024, 6, 1))}
+
+
+def test_run_windows(spark):
+    from feedyard.plans.requests import run_windows
+    runs = spark.createDataFrame([("r1", d(2024, 3, 20), "all"), ("r2", d(2024, 3, 20), "incremental")],
+                                 "run string, as_of date, run_type string")
+    got = {}
+    for r in run_windows(runs).collect():
+        got.setdefault(r.run, []).append((r.window_start, r.window_end))
+    assert got["r1"] == [(d(2024, 1, 1), d(2024, 2, 1)), (d(2024, 2, 1), d(2024, 3, 1)), (d(2024, 3, 1), d(2024, 3, 20))]
+    assert got["r2"] == [(d(2024, 2, 19), d(2024, 3, 1)), (d(2024, 3, 1), d(2024, 3, 20))]
+
+
+def test_conform_rejects_long_and_missing(spark):
+    from feedyard.operators.project import conform
+    df = spark.createDataFrame([("brokers", "1", "x" * 127, "t"), ("brokers", "2", "ok", None), ("brokers", "3", "ok", "t")],
+                               "feed string, broker_number string, phone string, _tid string")
+    ok, rej = conform(df)
+    assert [r.broker_number for r in ok.collect()] == ["3"]
+    assert sorted((r.broker_number, r.reason) for r in rej.collect()) == [
+        ("1", "phone: length 127 > 126"), ("2", "_tid: null")]
+    assert ok.columns[:3] == ["feed", "app_number", "transaction_date"]
+
+
+def test_publish_requires_order(spark, tmp_path):
+    from feedyard.sinks.table import VersionedTable
+    tbl = VersionedTable(spark, str(tmp_path / "t"), ["k"], n_buckets=2)
+    with pytest.raises(ValueError):
+        tbl.publish(_kv(spark, [("1", "x", 0)]), mode="replace")
