@@ -47,13 +47,16 @@ def shared_dir(spark: SparkSession) -> str:
 
     Set to a fresh local folder only when the session has none configured.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_DIRS.get(id(sc))
+    configured = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_DIRS.get(id(spark))
     if not configured:
         # Only reached where the session names no shared folder (tests, local).
         configured = tempfile.mkdtemp(prefix="feedyard-ckpt-")
-        _LOCAL_DIRS[id(sc)] = configured
-    if sc.getCheckpointDir() is None:
+        _LOCAL_DIRS[id(spark)] = configured
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no driver-side context (remote session)
+        sc = None
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
