@@ -16,19 +16,23 @@ from feedyard.sources.fixtures import (FIXTURES, oracle_projection, order_column
                                        window_and_order)
 
 
-def envelope_pages(spark: SparkSession, sf_dir: str, feed: str, terminator: bool = False) -> DataFrame:
-    """Page documents for a feed, built from its base table (what a fetcher lands).
+def paged_records(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
+    """A feed's records with the window, page and position they are served on.
 
     Pages are assigned on the raw rows (only window and order keys are
-    computed before the range shuffle); the records are formatted after it,
-    in parallel and once.
+    computed before the shuffle); the records are formatted after it, in
+    parallel and once.
     """
     use_utc(spark)
     base = table(spark, sf_dir, FIXTURES[feed].table)
     staged = base.select("*", *window_and_order(feed))
     paged = assign_pages(staged, by=["window_start"], order=order_columns(feed))
-    records = paged.select(*record_columns(feed), "window_start", "page_no", "position")
-    return envelopes_from_pages(records, feed, terminator=terminator)
+    return paged.select(*record_columns(feed), "window_start", "page_no", "position")
+
+
+def envelope_pages(spark: SparkSession, sf_dir: str, feed: str, terminator: bool = False) -> DataFrame:
+    """Page documents for a feed, built from its base table (what a fetcher lands)."""
+    return envelopes_from_pages(paged_records(spark, sf_dir, feed), feed, terminator=terminator)
 
 
 def feed_rows(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
@@ -41,6 +45,12 @@ def projected(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     return project_feed(feed_rows(spark, sf_dir, feed), feed)
 
 
+def projected_direct(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
+    """O12 over the paged records without the JSON round trip: the rows an
+    ingest leaves behind (the round trip itself is what ``projected`` adds)."""
+    return project_feed(paged_records(spark, sf_dir, feed).withColumn("feed", F.lit(feed)), feed)
+
+
 def _register_projection(feed: str) -> None:
     targets = get_feed(feed).targets
     # valuations maps one source field to two targets; keep first occurrences

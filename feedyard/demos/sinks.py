@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedyard.demos.feeds import feed_rows, projected
+from feedyard.demos.feeds import projected_direct
 from feedyard.demos.registry import demo
 from feedyard.operators.project import project_feed
 from feedyard.operators.upsert import (lookup_existing, quarantine, reject_duplicates, run_statement, upsert,
@@ -31,7 +31,7 @@ def rents_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     would leave it, so the target and the batch (and every join branch that
     reads them) scan it instead of re-running the landing path.
     """
-    r = projected(spark, sf_dir, "rents")
+    r = projected_direct(spark, sf_dir, "rents")
     orderkey = F.split(F.col("app_number"), "-").getItem(0).cast("bigint")
     r = r.withColumn("app_number", F.when(orderkey % 97 == 0, F.lit(None).cast("string")).otherwise(F.col("app_number")))
     path = scratch_path(spark, "rents-rows")
