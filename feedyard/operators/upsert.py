@@ -124,10 +124,17 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequ
 
 
 # -- O27 -------------------------------------------------------------------------
+# The reject message of the source pipeline, "Duplicate item
+# found: " followed by "key<value>" per key column, joined by ",".
+DUPLICATE_PREFIX = "Duplicate item found: "
+DUPLICATE_PART = "%s<%s>"
+
+
 def duplicate_reason(keys: Sequence[str]) -> Column:
     """'Duplicate item found: k1<v1>,k2<v2>' (the source pipeline's message)."""
-    parts = [F.format_string("%s<%s>", F.lit(k), F.coalesce(F.col(k).cast("string"), F.lit("None"))) for k in keys]
-    return F.concat(F.lit("Duplicate item found: "), F.concat_ws(",", *parts))
+    parts = [F.format_string(DUPLICATE_PART, F.lit(k), F.coalesce(F.col(k).cast("string"), F.lit("None")))
+             for k in keys]
+    return F.concat(F.lit(DUPLICATE_PREFIX), F.concat_ws(",", *parts))
 
 
 def reject_duplicates(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
