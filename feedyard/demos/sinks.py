@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from feedyard.demos.feeds import projected_direct
 from feedyard.demos.registry import demo
-from feedyard.operators.project import project_feed
 from feedyard.operators.upsert import (lookup_existing, quarantine, reject_duplicates, run_statement, upsert,
                                        upsert_stamped)
 from feedyard.session import scratch_path, use_utc
