@@ -110,3 +110,23 @@ def test_stream_in_many_micro_batches_equals_batch(spark):
     rows = feeds.projected(spark, SF_SMALL, "rents")
     batch = upsert(rows.limit(0), rows, ["app_number"], ["window_start", "page_no", "position"])
     assert _rows(tbl.read(), sinks.COLS) == _rows(batch, sinks.COLS)
+
+
+def test_publish_after_a_failed_attempt(spark):
+    """A publish that died after writing (orphan folder, no commit) neither
+    blocks the retry nor leaks into reads; a second commit of the same
+    version is refused."""
+    import os
+
+    import pytest as _pytest
+    t, b = sinks.target_and_batch(spark, SF_SMALL)
+    root = scratch_path(spark, "test-table")
+    tbl = VersionedTable(spark, root, sinks.KEYS, n_buckets=4)
+    tbl.publish(t, mode="append", batch_id="a")
+    orphan = os.path.join(root, "v=2-deadbeef", "_bucket=0")
+    os.makedirs(orphan)
+    b.limit(5).write.parquet(os.path.join(orphan, "junk"))
+    assert tbl.publish(b, order=sinks.ORDER, batch_id="b") == 2
+    assert _rows(tbl.read(), sinks.COLS) == _rows(upsert(t, b, sinks.KEYS, sinks.ORDER), sinks.COLS)
+    with _pytest.raises(RuntimeError):
+        tbl._fs.commit_text(f"{root}/_commits/{2:012d}.json", "{}")
