@@ -50,11 +50,12 @@ def stream_ingest(spark: SparkSession, in_dir: str, feed: str, table: VersionedT
         try:
             rows = explode_envelope(pages)
             good, bad_rows = split_malformed(rows, feed)
-            table.publish(project_feed(good, feed), order=list(ARRIVAL), mode=mode, batch_id=f"{name}:{batch_id}")
+            table.publish(project_feed(good, feed), order=list(ARRIVAL), mode=mode, stream_mark=(name, batch_id))
             if rejects_dir:
+                # one folder per micro-batch, overwritten on replay: idempotent
                 raw = F.to_json(F.struct(*[c for c in bad_rows.columns if c != "reason"])).alias("raw")
                 rejected = bad_rows.select("feed", raw, "reason").unionByName(bad_envelopes(pages))
-                rejected.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(rejects_dir)
+                rejected.write.mode("overwrite").parquet(f"{rejects_dir}/batch_id={batch_id}")
         finally:
             pages.unpersist()
 

@@ -130,3 +130,12 @@ def test_publish_after_a_failed_attempt(spark):
     assert _rows(tbl.read(), sinks.COLS) == _rows(upsert(t, b, sinks.KEYS, sinks.ORDER), sinks.COLS)
     with _pytest.raises(RuntimeError):
         tbl._fs.commit_text(f"{root}/_commits/{2:012d}.json", "{}")
+
+
+def test_stream_mark_skips_replayed_micro_batches(spark):
+    t, b = sinks.target_and_batch(spark, SF_SMALL)
+    tbl = VersionedTable(spark, scratch_path(spark, "test-table"), sinks.KEYS, n_buckets=4)
+    assert tbl.publish(t, order=sinks.ORDER, stream_mark=("q", 0)) == 1
+    assert tbl.publish(b, order=sinks.ORDER, stream_mark=("q", 0)) == 1  # replay of micro-batch 0
+    assert tbl.publish(b, order=sinks.ORDER, stream_mark=("q", 1)) == 2
+    assert tbl.manifest()["stream_marks"] == {"q": 1}
