@@ -3,8 +3,9 @@
 ``stream_ingest`` (O42): landed page documents -> decode -> explode ->
 reject malformed rows -> project -> upsert into a versioned table, one
 publish per micro-batch. Exactly once: the file source tracks which files
-were read in the checkpoint, and the table skips a batch id it has already
-committed, so a batch retried after a failure changes nothing.
+were read in the checkpoint, and the table records the highest micro-batch
+id it committed for the query, so a batch retried after a failure changes
+nothing; rejects go to one folder per micro-batch, overwritten on retry.
 
 ``stream_dedupe`` (O43): drop records delivered twice (adjacent windows
 share a boundary day) with state bounded by a watermark.
