@@ -70,6 +70,17 @@ def _semi(left: DataFrame, right_keys: DataFrame, keys: Sequence[str], null_safe
 
 
 # -- batch reduction -----------------------------------------------------------
+def _reduce_parts(batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column], keep: str,
+                  null_safe: bool) -> tuple[DataFrame, DataFrame | None]:
+    """(one row per non-null key, null-key rows passed through or None)."""
+    cols = batch.columns
+    row = F.struct(*[F.col(c) for c in cols])
+    pick = F.max_by if keep == "last" else F.min_by
+    nonnull, nulls = _split_null(batch, keys, null_safe)
+    reduced = nonnull.groupBy(*keys).agg(pick(row, _order_struct(order)).alias("_r")).select("_r.*")
+    return reduced, nulls
+
+
 def reduce_batch(batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column], keep: str = "last",
                  null_safe: bool = False) -> DataFrame:
     """One row per key: the last (``keep='last'``) or first row in ``order``.
@@ -79,14 +90,7 @@ def reduce_batch(batch: DataFrame, keys: Sequence[str], order: Sequence[str | Co
     the shuffle instead of landing whole in one task. ``order`` must be total
     within a key. Null-key rows pass through unreduced unless ``null_safe``.
     """
-    cols = batch.columns
-    row = F.struct(*[F.col(c) for c in cols])
-    pick = F.max_by if keep == "last" else F.min_by
-    if null_safe:
-        nonnull, nulls = batch, None
-    else:
-        nonnull, nulls = batch.filter(~_any_null(keys)), batch.filter(_any_null(keys))
-    reduced = nonnull.groupBy(*keys).agg(pick(row, _order_struct(order)).alias("_r")).select("_r.*")
+    reduced, nulls = _reduce_parts(batch, keys, order, keep, null_safe)
     return reduced if nulls is None else reduced.unionByName(nulls)
 
 
@@ -102,15 +106,16 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequ
     """
     keys = list(keys)
     if mode == "replace":
-        b = reduce_batch(batch, keys, order, "last", null_safe)
-        bk = _key_frame(_split_null(b, keys, null_safe)[0], keys)
-        kept = _anti(target, bk, keys, null_safe)
-        return kept.unionByName(b.select(*target.columns))
+        reduced, nulls = _reduce_parts(batch, keys, order, "last", null_safe)
+        kept = _anti(target, _key_frame(reduced, keys), keys, null_safe)
+        out = kept.unionByName(reduced.select(*target.columns))
+        return out if nulls is None else out.unionByName(nulls.select(*target.columns))
     if mode == "keep":
-        b = reduce_batch(batch, keys, order, "first", null_safe)
+        reduced, nulls = _reduce_parts(batch, keys, order, "first", null_safe)
         tk = _key_frame(_split_null(target, keys, null_safe)[0], keys)
-        new = _anti(b, tk, keys, null_safe)
-        return target.unionByName(new.select(*target.columns))
+        new = reduced.join(tk, on=_key_cond(reduced, tk, keys, "_k_", null_safe), how="left_anti")
+        out = target.unionByName(new.select(*target.columns))
+        return out if nulls is None else out.unionByName(nulls.select(*target.columns))
     if mode == "newest":
         # like replace, but a target row later in ``order`` than every batch
         # row of its key survives: the result does not depend on how rows
