@@ -50,7 +50,9 @@ def executed_plan(df) -> str:
     """Run the DataFrame's own query (so AQE finalises that plan) and return
     the final physical plan. Demo outputs at the audit scale are small."""
     df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # an adaptive plan prints its final and its initial form: keep the final
+    return plan.split("+- == Initial Plan ==")[0]
 
 
 def audit(name: str, plan: str) -> dict:
