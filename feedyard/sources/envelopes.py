@@ -40,16 +40,26 @@ def parse_envelopes(text: DataFrame, feed: str | Feed, value: str = "value") ->
 
     Output: feed, window_start (date), page_no, records (array of structs),
     n_records, and ``_corrupt_record`` (the raw text) where the document
-    does not decode.
+    does not decode. The page identity comes from the document when it
+    carries one; a bare service body (``{"response": ...}`` only) takes it
+    from ``window_start`` / ``page_no`` columns of the input, e.g. partition
+    folders ``window_start=.../page_no=.../`` of the landing layout.
     """
     f = get_feed(feed) if isinstance(feed, str) else feed
     doc = F.from_json(F.col(value), envelope_schema(f),
                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    parsed = text.select(doc.alias("d"))
+    side = [c for c in ("window_start", "page_no") if c in text.columns]
+    parsed = text.select(doc.alias("d"), *[F.col(c).alias(f"_path_{c}") for c in side])
+    window = F.col("d.window_start")
+    page = F.col("d.page_no")
+    if "window_start" in side:
+        window = F.coalesce(window, F.col("_path_window_start").cast("string"))
+    if "page_no" in side:
+        page = F.coalesce(page, F.col("_path_page_no").cast("bigint"))
     return parsed.select(
         F.coalesce(F.col("d.feed"), F.lit(f.name)).alias("feed"),
-        F.to_date(F.col("d.window_start")).alias("window_start"),
-        F.col("d.page_no").alias("page_no"),
+        F.to_date(window).alias("window_start"),
+        page.alias("page_no"),
         F.col("d.response.result").alias("records"),
         F.coalesce(F.size(F.col("d.response.result")), F.lit(0)).alias("n_records"),
         F.col(f"d.{CORRUPT}").alias(CORRUPT),

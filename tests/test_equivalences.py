@@ -139,3 +139,22 @@ def test_stream_mark_skips_replayed_micro_batches(spark):
     assert tbl.publish(b, order=sinks.ORDER, stream_mark=("q", 0)) == 1  # replay of micro-batch 0
     assert tbl.publish(b, order=sinks.ORDER, stream_mark=("q", 1)) == 2
     assert tbl.manifest()["stream_marks"] == {"q": 1}
+
+
+def test_bare_service_bodies_take_identity_from_the_path(spark):
+    """Pages landed as the service's own body ({"response": ...} only), one
+    file per page under window_start=/page_no= folders, read back whole."""
+    import os
+    root = scratch_path(spark, "test-bare")
+    docs = feeds.envelope_pages(spark, SF_SMALL, "developers").collect()
+    for d in docs:
+        folder = os.path.join(root, f"window_start={d.window_start or '__HIVE_DEFAULT_PARTITION__'}",
+                              f"page_no={d.page_no}")
+        os.makedirs(folder)
+        body = d.value[d.value.index('"response"'):]
+        with open(os.path.join(folder, "page.json"), "w") as fh:
+            fh.write("{" + body)
+    rows = explode_envelope(read_envelopes(spark, root, "developers", whole_file=True))
+    direct = feeds.feed_rows(spark, SF_SMALL, "developers")
+    cols = ["DEVELOPER_NUMBER", "DEVELOPER_EN", "LICENSE_SOURCE_EN", "page_no", "position"]
+    assert _rows(rows, cols) == _rows(direct, cols)
