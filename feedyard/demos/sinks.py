@@ -174,3 +174,28 @@ def write_then_read_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     table_.publish(b, order=ORDER, mode="replace", batch_id="batch-1")
     table_.publish(b, order=ORDER, mode="replace", batch_id="batch-1")  # a replay changes nothing
     return table_.read().select(*COLS)
+
+
+# -- a whole run (O11 -> O1 -> O4 -> O2 -> O27 -> O12 -> O30 -> O29 -> O31 -> O25/O32)
+@demo("ingest_run", """
+SELECT 'transactions' AS feed, count(DISTINCT o_orderkey) AS n_rows, 'run-1' AS tid FROM orders
+UNION ALL SELECT 'rents', count(DISTINCT (l_orderkey, l_linenumber)), 'run-1' FROM lineitem
+UNION ALL SELECT 'projects', count(DISTINCT p_partkey), 'run-1' FROM part
+UNION ALL SELECT 'valuations', count(DISTINCT (l_orderkey, year(l_shipdate))), 'run-1' FROM lineitem
+UNION ALL SELECT 'developers', count(DISTINCT s_suppkey), 'run-1' FROM supplier""")
+def ingest_run_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five dated feeds land as page files; one run ingests them into the
+    wide keyed table; per feed one row per natural key remains."""
+    from functools import reduce as _reduce
+
+    from feedyard.demos.feeds import envelope_pages
+    from feedyard.plans.run import WideTable, ingest_run
+    from feedyard.schema import DATED_FEEDS
+    from feedyard.sources.envelopes import land_envelopes
+    use_utc(spark)
+    landed = scratch_path(spark, "landed")
+    land_envelopes(_reduce(DataFrame.unionByName, [envelope_pages(spark, sf_dir, f, terminator=True)
+                                                   for f in DATED_FEEDS]), landed)
+    wide = WideTable(spark, scratch_path(spark, "tables"), n_buckets=16)
+    ingest_run(spark, landed, wide, "run-1", T1, category=None, rejects_root=scratch_path(spark, "rejects"))
+    return wide.read().groupBy("feed").agg(F.count(F.lit(1)).alias("n_rows"), F.max("_tid").alias("tid"))

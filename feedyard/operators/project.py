@@ -117,16 +117,19 @@ def _violations(df: DataFrame):
     return F.concat_ws("; ", *checks) if checks else F.lit("")
 
 
-def conform(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def conform(df: DataFrame, widen: bool = True) -> tuple[DataFrame, DataFrame]:
     """Cast to the wide schema; (conforming rows, rejects with ``reason``).
 
     A row is rejected when a bounded text column is longer than declared or
     a NOT NULL column is null. Both outputs come from one scan expression;
-    Spark evaluates the reason once per branch.
+    Spark evaluates the reason once per branch. ``widen=False`` casts and
+    checks only the columns present (plus the NOT NULL ones), so a feed's
+    rows stay narrow until they are read as the wide table.
     """
+    wanted = [c for c in WIDE_COLUMNS if widen or c.name in df.columns or c.name in NOT_NULL]
     typed = df.select(*[
         (F.col(c.name).cast(c.type) if c.name in df.columns else F.lit(None).cast(c.type)).alias(c.name)
-        for c in WIDE_COLUMNS
+        for c in wanted
     ], *[c for c in df.columns if c not in WIDE_NAMES])
     tagged = typed.withColumn("_reason", _violations(typed))
     ok = tagged.filter(F.col("_reason") == "").drop("_reason")

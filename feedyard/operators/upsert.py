@@ -195,6 +195,21 @@ def stamp(df: DataFrame, run_id: str, as_of: _dt.datetime | str | Column, previo
     return out.drop("_prev_created") if "_prev_created" in out.columns else out
 
 
+def carry_created_at(batch: DataFrame, previous: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``created_at`` of each batch row becomes the earliest ``created_at`` of
+    the previous rows with its key, where there are any (null keys never
+    match and go around the join)."""
+    keys = list(keys)
+    matchable, nulls = _split_null(batch, keys, False)
+    prev = _semi(previous, _key_frame(matchable, keys), keys, False)
+    prev = prev.groupBy(*keys).agg(F.min("created_at").alias("_prev_created"))
+    prev = prev.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_prev_created")
+    joined = matchable.join(prev, on=_key_cond(matchable, prev, keys, "_k_", False), how="left")
+    out = joined.withColumn("created_at", F.coalesce(F.col("_prev_created"), F.col("created_at"))) \
+        .drop("_prev_created", *[f"_k_{k}" for k in keys])
+    return out if nulls is None else out.unionByName(nulls)
+
+
 def upsert_stamped(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                    run_id: str, as_of, null_safe: bool = False) -> DataFrame:
     """``upsert(replace)`` whose new rows carry the run's audit stamps."""
