@@ -219,3 +219,38 @@ def resolve_attempts_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = resolve_attempts(attempts_log(spark, sf_dir))
     return kept.select("feed", F.col("window_start").cast("string").alias("window_start"), "page_no", "attempt",
                        "n_records")
+
+
+# -- O3, snapshot feeds: one window without dates, pages from the table size ---
+def _snapshot_body_sql(feed: str) -> str:
+    f = get_feed(feed)
+    head = ",".join(f'"{k}":"{v}"' for k, v in f.params)
+    return ("'{" + head + ",\"P_TAKE\":\"100\",\"P_SKIP\":\"' || CAST(p * 100 AS VARCHAR) || '\",\"P_SORT\":\"" +
+            f.sort + "\"}'")
+
+
+def _snapshot_plan_oracle() -> str:
+    from feedyard.schema import SNAPSHOT_FEEDS
+    parts = []
+    for f in SNAPSHOT_FEEDS:
+        parts.append(
+            f"SELECT '{f}' AS feed, CAST(NULL AS VARCHAR) AS window_start, CAST(NULL AS VARCHAR) AS window_end, "
+            f"CAST(p AS INTEGER) AS page_no, CAST(p * 100 AS INTEGER) AS skip, 100 AS take, "
+            f"'{get_feed(f).sort}' AS sort, {_snapshot_body_sql(f)} AS body "
+            f"FROM (SELECT count(*) AS n FROM {FIXTURES[f].table}) c, "
+            f"generate_series(0, CAST(least(ceil(n / 100), 1000) AS BIGINT) - 1) g(p) WHERE n > 0")
+    return "\nUNION ALL\n".join(parts)
+
+
+@demo("request_plan_snapshot", _snapshot_plan_oracle())
+def request_plan_snapshot_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedyard.schema import SNAPSHOT_FEEDS
+    feeds = reduce(DataFrame.unionByName, [select_feeds(spark, f) for f in SNAPSHOT_FEEDS])
+    counts = reduce(DataFrame.unionByName, [
+        table(spark, sf_dir, FIXTURES[f].table).agg(F.count(F.lit(1)).alias("n_records"))
+        .select(F.lit(f).alias("feed"), F.lit(None).cast("date").alias("window_start"), "n_records")
+        for f in SNAPSHOT_FEEDS])
+    o = _orders(spark, sf_dir).select("o_orderdate")
+    plan = request_plan(feeds, windows_for(o, "o_orderdate"), counts=counts)  # dated windows: not used here
+    return plan.select("feed", F.col("window_start").cast("string").alias("window_start"),
+                       F.col("window_end").cast("string").alias("window_end"), "page_no", "skip", "take", "sort", "body")
