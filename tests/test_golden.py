@@ -222,3 +222,16 @@ def test_publish_requires_order(spark, tmp_path):
     tbl = VersionedTable(spark, str(tmp_path / "t"), ["k"], n_buckets=2)
     with pytest.raises(ValueError):
         tbl.publish(_kv(spark, [("1", "x", 0)]), mode="replace")
+
+
+def test_feed_filter_parameters(spark):
+    from feedyard.operators.filters import feed_default_filter, feed_filter
+    df = spark.createDataFrame([("1", "Sale", "A"), ("0", "Sale", "B"), ("1", "Gift", "A")],
+                               "free_hold string, transaction_type string, area_ string")
+    # request names resolve to columns; '' and None mean no constraint;
+    # control parameters (P_DATE_TYPE, paging) constrain nothing
+    got = feed_filter(df, {"P_IS_FREE_HOLD": "1", "P_GROUP_ID": "Sale", "P_AREA_ID": "", "P_DATE_TYPE": "0",
+                           "P_TAKE": "100", "area_": None}).collect()
+    assert [(r.free_hold, r.transaction_type, r.area_) for r in got] == [("1", "Sale", "A")]
+    units = spark.createDataFrame([("1",), ("0",), (None,)], "free_hold string")
+    assert [r.free_hold for r in feed_default_filter(units, "units").collect()] == ["1"]
