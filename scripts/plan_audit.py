@@ -29,6 +29,8 @@ FLAGS = {
 EXPECTED_SINGLE = {
     "assign_windows": "global min/max of the date column (one row per partition after partial aggregation)",
     "request_plan": "global min/max of the date column (partial aggregation first)",
+    "request_plan_snapshot": "count(*) per snapshot base table and the global min/max of the order dates "
+                             "(each after partial aggregation: one row per partition)",
     "scan_envelopes": "none expected",
     "select_feeds": "count(*) per base table (partial aggregation first)",
     "surrogate_key_collisions": "final count over per-id counts (partial aggregation first)",
