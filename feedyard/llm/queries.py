@@ -121,3 +121,115 @@ def op4_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op5_bpe")
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from feedyard.llm.bpe import encode_texts
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_texts(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"), digest=True)
+
+
+_OP6 = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))) IS NOT false
+), scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+) WHERE rank <= 5
+"""
+
+
+@query("op6_topk", _OP6)
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedyard.llm.topk import exact_topk, quantised
+
+    vectors = quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", scale=256)
+    queries = vectors.where(F.pmod(F.col("id"), F.lit(50)) == 0)
+    return exact_topk(queries, vectors, k=5).select(
+        "query_id", "rank", F.col("id").alias("vec_id"), "score",
+    )
+
+
+_OP7 = r"""
+WITH lines AS (
+  SELECT doc_id, source, pos, trim(line, ' ') AS line
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents)
+), boiler AS (
+  SELECT line, min((doc_id, pos)) AS keep FROM lines
+  WHERE length(line) - length(replace(line, ' ', '')) >= 2
+  GROUP BY line HAVING count(DISTINCT source) >= 8
+), gone AS (
+  SELECT doc_id, list(pos) AS gone FROM lines JOIN boiler USING (line)
+  WHERE (doc_id, pos) <> keep GROUP BY doc_id
+), made AS (
+  SELECT doc_id, coalesce(gone, []) AS gone,
+    array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: NOT list_contains(coalesce(gone, []), i - 1)), chr(10)) AS text
+  FROM documents LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, len(gone)::BIGINT AS n_removed, length(text)::BIGINT AS n_chars, sha256(text) AS text_sha256 FROM made
+"""
+
+
+@query("op7_line_dedup", _OP7)
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedyard.llm.line_dedup import remove_boilerplate
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return remove_boilerplate(docs, "doc_id", "text", "source").select(
+        "doc_id",
+        F.size("lines_removed").cast("long").alias("n_removed"),
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
+_OP8_WORDS = r"regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_OP8 = rf"""
+WITH d AS (SELECT doc_id, {_OP8_WORDS.format('text')} AS w FROM documents),
+b AS (SELECT item_id, {_OP8_WORDS.format('text')} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, list_slice(w, i, i + least(10, len(w)) - 1) AS win
+  FROM (SELECT *, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)
+),
+sizes AS (SELECT DISTINCT n FROM win),
+places AS (
+  SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS win
+  FROM (SELECT d.doc_id, d.w, s.n, unnest(range(1, len(d.w) - s.n + 2)) AS i FROM d JOIN sizes s ON len(d.w) >= s.n)
+),
+hits AS (SELECT doc_id, places.n, i, item_id FROM places JOIN win USING (n, win)),
+per AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+  FROM hits GROUP BY doc_id
+),
+words AS (
+  SELECT doc_id, count(*) AS n_hit
+  FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS word FROM (SELECT DISTINCT doc_id, n, i FROM hits)) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN per USING (doc_id) LEFT JOIN words USING (doc_id)
+"""
+
+
+@query("op8_decontaminate", _OP8)
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedyard.llm.decontaminate import find_windows
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hits = find_windows(docs, table(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text")
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
+    return hits.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
