@@ -233,3 +233,18 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
+
+
+def held_out(doc_id: str = "doc_id"):
+    """The fold never learned from: crc32 of the id as text leaves 2 by 4."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
+
+
+@query("op10_language")
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedyard.llm.language import detect
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return detect(docs, "doc_id", "text", "lang", may_train=~held_out()).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score",
+    )
