@@ -248,3 +248,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect(docs, "doc_id", "text", "lang", may_train=~held_out()).select(
         "doc_id", held_out().alias("held_out"), "lang_pred", "score",
     )
+
+
+@query("op9_ngram_join")
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedyard.llm.ngram_join import similar_groups
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return similar_groups(docs, "doc_id", "text")[0]
