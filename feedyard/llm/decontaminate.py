@@ -179,3 +179,14 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: s
         .withColumns({"spans": F.coalesce("spans", F.array().cast(SPAN)), "items": F.coalesce("items", F.array().cast("array<string>"))})
         .withColumnRenamed("id", id_col)
     )
+
+
+def drop_hit(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str) -> DataFrame:
+    """``docs``, all columns, without the documents that a window occurs in."""
+    hits = find_windows(docs, benchmark, id_col, text_col, item_col, item_text)
+    bad = hits.where(F.size("spans") > 0).select(
+        F.xxhash64(F.lit(1), id_col, "text").alias("_hit1"), F.xxhash64(F.lit(2), id_col, "text").alias("_hit2")).distinct()
+    as_long = F.col(id_col).cast("long")
+    keyed = docs.withColumns({
+        "_hit1": F.xxhash64(F.lit(1), as_long, F.col(text_col)), "_hit2": F.xxhash64(F.lit(2), as_long, F.col(text_col))})
+    return keyed.join(landed(bad, "hit-documents"), ["_hit1", "_hit2"], "left_anti").select(*docs.columns)

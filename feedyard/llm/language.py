@@ -184,6 +184,17 @@ class Predictor:
         return lang, sure * inner_sure
 
 
+def _keep(pickled):
+    """Passes on the rows (text last) whose language is not ``und``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = pickle.loads(pickled.value)
+        predictor = Predictor(model) if model is not None else None
+        for batch in batches:
+            said = [predictor.predict(t)[0] if predictor else UNKNOWN for t in batch.columns[-1].to_pylist()]
+            yield batch.filter(pa.array([lang != UNKNOWN for lang in said]))
+    return run
+
+
 def _predict(pickled):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pickle.loads(pickled.value)
@@ -214,10 +225,21 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     return thin.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= per_language).select("text", "lang")
 
 
+def _learned(docs: DataFrame, id_col: str, text_col: str, lang_col: str, may_train: Column, per_language: int):
+    sample = training_sample(docs, id_col, text_col, lang_col, may_train, per_language).collect()
+    return docs.sparkSession.sparkContext.broadcast(pickle.dumps(train(sorted((r.text, r.lang) for r in sample))))
+
+
+def keep_identified(docs: DataFrame, id_col: str, text_col: str, lang_col: str, may_train: Column, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """``docs``, all columns, without the rows whose language is ``und``."""
+    model = _learned(docs, id_col, text_col, lang_col, may_train, per_language)
+    # the text comes twice: once in its place, once last for the predictor
+    wide = docs.select("*", F.col(text_col).alias("_identified"))
+    return wide.mapInArrow(_keep(model), wide.schema).drop("_identified")
+
+
 def detect(docs: DataFrame, id_col: str, text_col: str, lang_col: str, may_train: Column, per_language: int = PER_LANGUAGE) -> DataFrame:
     """id_col, lang_pred, score of every row; learns where ``may_train`` holds."""
-    sample = training_sample(docs, id_col, text_col, lang_col, may_train, per_language).collect()
-    model = train(sorted((r.text, r.lang) for r in sample))
-    sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+    sent = _learned(docs, id_col, text_col, lang_col, may_train, per_language)
     out = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(_predict(sent), OUT)
     return out.withColumnRenamed("id", id_col)
