@@ -265,10 +265,13 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     def told(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
     return found.select(
         "doc_id",
-        *[F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS],
+        *[count(k) for k in KINDS],
         F.sha2(told("base"), 256).alias("base_sha256"), told("spans").alias("spans"),
         (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
     )
