@@ -26,7 +26,6 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -130,17 +129,19 @@ def _scan(pickled):
     return run
 
 
-def _merged(groups: pd.Series) -> pd.Series:
-    def merge(hits):
-        out: list[dict] = []
-        for h in sorted((dict(s) for g in hits for s in g), key=lambda s: (s["first"], s["last"])):
-            if out and h["first"] <= out[-1]["last"]:
-                if h["last"] > out[-1]["last"]:
-                    out[-1] |= {"last": h["last"], "end": h["end"]}
-            else:
-                out.append(h)
-        return out
-    return groups.map(merge)
+def _merged(spans):
+    """Sorted spans with those that overlap or touch made one."""
+    def add(done, s):
+        last = F.get(done, F.size(done) - 1)
+        longer = F.struct(
+            last["first"].alias("first"), F.greatest(last["last"], s["last"]).alias("last"),
+            last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        return F.when(
+            (F.size(done) > 0) & (s["first"] <= last["last"]),
+            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer)),
+        ).otherwise(F.concat(done, F.array(s)))
+
+    return F.aggregate(F.sort_array(spans), F.array().cast(SPAN), add)
 
 
 def find_windows(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str) -> DataFrame:
@@ -168,9 +169,8 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: s
     for g in range(n_groups):  # one automaton at a time
         found = landed(scanned(items.where(group == g)).where(F.size("items") > 0).select(*key, "spans", "items"), "window-hits")
         hits = found if hits is None else hits.unionByName(found)
-    merge = F.pandas_udf(_merged, SPAN)
     each = hits.groupBy("k1", "k2").agg(
-        merge(F.collect_set("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
+        _merged(F.flatten(F.collect_set("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
     )
     none = spark.range(0).select(F.lit(None).cast("long").alias("item"), F.lit(None).cast("string").alias("text"))
     return (

@@ -272,7 +272,7 @@ def similar_groups(
     classes = landed(
         worded.groupBy("k1", "k2", "id", "t1", "t2").agg(F.count("*").alias("n_same"), F.first("bands").alias("bands"))
         .groupBy("k1", "k2").agg(
-            F.min(F.struct("id", "t1", "t2", "n_same")).alias("rep"), F.sum("n_same").alias("copies"), F.first("bands").alias("bands"))
+            F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "t1", "t2", "n_same")).alias("rep"), F.sum("n_same").alias("copies"), F.first("bands").alias("bands"))
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
@@ -311,7 +311,7 @@ def similar_groups(
     by_set = named.drop("rep").join(firsts.select("label", "class_id"), "label").select("k1", "k2", "class_id", "n_links")
     documents = worded.select("id", "k1", "k2").join(by_set, ["k1", "k2"]).select("id", "class_id", "n_links").unionByName(
         empty.select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
-    return documents.withColumnRenamed("id", id_col), firsts.select("rep.*")
+    return documents.withColumnRenamed("id", id_col), firsts.select("rep.id", "rep.t1", "rep.t2", "rep.n_same")
 
 
 def drop_similar(docs: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD) -> DataFrame:
