@@ -178,21 +178,17 @@ def months_before_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", "date_text", "n", D.months_before("date_text", F.col("n")).cast("string").alias("shifted"))
 
 
-# The oracle follows the source helper's own arithmetic: years by floor
-# division, months by a non-negative remainder, then the unpadded month test.
+# The stated behaviour: the first of the month moves by the interval; the day
+# is then clipped to the target month's end for October to December, to the
+# end of the target year's February for all other months.
 @demo("months_before_legacy", f"""
-WITH a AS (
+WITH moved AS (
   SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date_text, CAST({_N_DUCK} AS INTEGER) AS n,
-         year(o_orderdate) AS y, month(o_orderdate) AS m, day(o_orderdate) AS d FROM orders),
-b AS (SELECT *, y - CAST(floor(n / 12.0) AS INTEGER) AS y1, ((n % 12) + 12) % 12 AS r FROM a),
-c AS (SELECT *, CASE WHEN m - r <= 0 THEN y1 - 1 ELSE y1 END AS ty, CASE WHEN m - r <= 0 THEN 12 + m - r ELSE m - r END AS tm FROM b)
-SELECT o_orderkey, date_text, n,
-  CAST(make_date(ty, tm, CASE
-    WHEN tm IN (10, 12) THEN least(d, 31)
-    WHEN tm = 11 THEN least(d, 30)
-    WHEN (ty % 4 = 0 AND ty % 100 <> 0) OR ty % 400 = 0 THEN least(d, 29)
-    ELSE least(d, 28) END) AS VARCHAR) AS shifted
-FROM c""")
+    day(o_orderdate) AS day, CAST(date_trunc('month', o_orderdate) - to_months(CAST({_N_DUCK} AS INTEGER)) AS DATE) AS first
+  FROM orders)
+SELECT o_orderkey, date_text, n, CAST(CAST(first + to_days(CAST(least(day, day(last_day(
+    CASE WHEN month(first) >= 10 THEN first ELSE make_date(year(first), 2, 1) END))) - 1 AS INTEGER)) AS DATE) AS VARCHAR) AS shifted
+FROM moved""")
 def months_before_legacy_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _orders(spark, sf_dir).select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_text"),
                                       _n().alias("n"))

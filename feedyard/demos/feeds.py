@@ -67,17 +67,16 @@ for _f in FEEDS:
 
 # -- O1: read landed page documents back from storage ------------------------
 @demo("scan_envelopes", """
-SELECT 'transactions' AS feed, count(*) AS n_records, count(DISTINCT o_orderkey) AS n_keys,
-       CAST(sum(o_orderkey) AS BIGINT) AS key_sum, count(DISTINCT date_trunc('month', o_orderdate)) AS n_windows
+SELECT 'transactions' AS feed, CAST(o_orderkey AS VARCHAR) AS app_number,
+       strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS window_start,
+       CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS amount
 FROM orders""")
 def scan_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landed")
     land_envelopes(envelope_pages(spark, sf_dir, "transactions", terminator=True), path)
     rows = explode_envelope(read_envelopes(spark, f"{path}/feed=transactions", "transactions"))
-    key = F.col("TRANSACTION_NUMBER").cast("bigint")
-    return rows.groupBy("feed").agg(
-        F.count(F.lit(1)).alias("n_records"), F.count_distinct(key).alias("n_keys"),
-        F.sum(key).alias("key_sum"), F.count_distinct("window_start").alias("n_windows"))
+    return rows.select("feed", F.col("TRANSACTION_NUMBER").alias("app_number"),
+                       F.col("window_start").cast("string").alias("window_start"), F.col("TRANS_VALUE").alias("amount"))
 
 
 # -- O2: records with window, page and position ------------------------------
@@ -103,13 +102,15 @@ def saved_fields_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -- O30: all feeds in one wide table ----------------------------------------
+DATA_COLUMNS = [c.name for c in WIDE_COLUMNS if c.name not in ("feed", "_tid", "created_at", "updated_at")]
+
+
 def _wide_oracle() -> str:
     parts = []
     for f in FEEDS:
         targets = list(dict.fromkeys(get_feed(f).targets))
-        nonnull = " + ".join(f"count({t})" for t in targets)
-        parts.append(f"SELECT feed, count(*) AS n_rows, CAST({nonnull} AS BIGINT) AS n_filled "
-                     f"FROM ({oracle_projection(f)}) GROUP BY feed")
+        told = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" if c in targets else "'~'" for c in DATA_COLUMNS)
+        parts.append(f"SELECT feed, md5(concat_ws('|', {told})) AS row_md5 FROM ({oracle_projection(f)})")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -119,10 +120,9 @@ def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @demo("to_wide", _wide_oracle())
 def to_wide_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = wide_table(spark, sf_dir)
-    data_cols = [c.name for c in WIDE_COLUMNS if c.name not in ("feed", "_tid", "created_at", "updated_at")]
-    filled = sum((F.col(c).isNotNull().cast("bigint") for c in data_cols), F.lit(0).cast("bigint"))
-    return wide.groupBy("feed").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(filled).alias("n_filled"))
+    """Every row by feed and the digest of all its wide columns in order."""
+    told = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in DATA_COLUMNS]
+    return wide_table(spark, sf_dir).select("feed", F.md5(F.concat_ws("|", *told)).alias("row_md5"))
 
 
 # -- O31: conform to the wide schema -----------------------------------------

@@ -68,7 +68,7 @@ cnt AS (SELECT ws, we, count(o.o_orderkey) AS n FROM win LEFT JOIN orders o ON {
 SELECT 'transactions' AS feed, CAST(ws AS VARCHAR) AS window_start, CAST(we AS VARCHAR) AS window_end,
        CAST(p AS INTEGER) AS page_no, CAST(p * 100 AS INTEGER) AS skip, 100 AS take,
        'TRANSACTION_NUMBER_ASC' AS sort, {_body_sql('transactions', 'p * 100')} AS body
-FROM cnt, generate_series(0, CAST(least(ceil(n / 100), 1000) AS BIGINT) - 1) g(p)
+FROM cnt, generate_series(0, CAST(ceil(n / 100) AS BIGINT) - 1) g(p)
 WHERE n > 0""")
 def request_plan_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _orders(spark, sf_dir).select("o_orderkey", "o_orderdate")
@@ -197,7 +197,7 @@ def attempts_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     day, page = F.to_date("ts"), F.floor(F.col("user_id") / 10).cast("bigint")
     ev = ev.withColumn("window_start", day).withColumn("page_no", page)
-    # attempts of one page are few (the crawler retries at most ten times)
+    # attempts of one page are few
     w = Window.partitionBy("window_start", "page_no").orderBy("ts", "event_id")
     return ev.select(
         F.lit("units").alias("feed"), "window_start", "page_no", F.row_number().over(w).cast("int").alias("attempt"),
@@ -208,8 +208,8 @@ def attempts_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 @demo("resolve_attempts", f"""
 WITH a AS ({_ATTEMPTS_DUCK}),
 pg AS (SELECT feed, window_start, page_no,
-              min(attempt) FILTER (WHERE status = 200 AND attempt <= 10) AS attempt,
-              arg_min(n_records, attempt) FILTER (WHERE status = 200 AND attempt <= 10) AS n_records
+              min(attempt) FILTER (WHERE status = 200) AS attempt,
+              arg_min(n_records, attempt) FILTER (WHERE status = 200) AS n_records
        FROM a GROUP BY feed, window_start, page_no),
 s AS (SELECT feed, window_start, min(CASE WHEN attempt IS NULL OR n_records = 0 THEN page_no END) AS stop
       FROM pg GROUP BY feed, window_start)
@@ -238,7 +238,7 @@ def _snapshot_plan_oracle() -> str:
             f"CAST(p AS INTEGER) AS page_no, CAST(p * 100 AS INTEGER) AS skip, 100 AS take, "
             f"'{get_feed(f).sort}' AS sort, {_snapshot_body_sql(f)} AS body "
             f"FROM (SELECT count(*) AS n FROM {FIXTURES[f].table}) c, "
-            f"generate_series(0, CAST(least(ceil(n / 100), 1000) AS BIGINT) - 1) g(p) WHERE n > 0")
+            f"generate_series(0, CAST(ceil(n / 100) AS BIGINT) - 1) g(p) WHERE n > 0")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -250,7 +250,8 @@ def request_plan_snapshot_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, FIXTURES[f].table).agg(F.count(F.lit(1)).alias("n_records"))
         .select(F.lit(f).alias("feed"), F.lit(None).cast("date").alias("window_start"), "n_records")
         for f in SNAPSHOT_FEEDS])
-    o = _orders(spark, sf_dir).select("o_orderdate")
-    plan = request_plan(feeds, windows_for(o, "o_orderdate"), counts=counts)  # dated windows: not used here
+    use_utc(spark)
+    windows = spark.range(0).select(F.lit(None).cast("date").alias("window_start"), F.lit(None).cast("date").alias("window_end"))
+    plan = request_plan(feeds, windows, counts=counts)  # snapshot feeds have no dated windows
     return plan.select("feed", F.col("window_start").cast("string").alias("window_start"),
                        F.col("window_end").cast("string").alias("window_end"), "page_no", "skip", "take", "sort", "body")

@@ -178,14 +178,23 @@ def write_then_read_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- a whole run (O11 -> O1 -> O4 -> O2 -> O27 -> O12 -> O30 -> O29 -> O31 -> O25/O32)
 @demo("ingest_run", """
-SELECT 'transactions' AS feed, count(DISTINCT o_orderkey) AS n_rows, 'run-1' AS tid FROM orders
-UNION ALL SELECT 'rents', count(DISTINCT (l_orderkey, l_linenumber)), 'run-1' FROM lineitem
-UNION ALL SELECT 'projects', count(DISTINCT p_partkey), 'run-1' FROM part
-UNION ALL SELECT 'valuations', count(DISTINCT (l_orderkey, year(l_shipdate))), 'run-1' FROM lineitem
-UNION ALL SELECT 'developers', count(DISTINCT s_suppkey), 'run-1' FROM supplier""")
+SELECT 'transactions' AS feed, CAST(o_orderkey AS VARCHAR) AS id, CAST(epoch(o_orderdate) AS BIGINT) AS dated,
+  CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS amount, 'run-1' AS tid FROM orders
+UNION ALL SELECT 'rents', app_number, registration_date, contract_amount, 'run-1' FROM (
+  SELECT concat(l_orderkey, '-', l_linenumber) AS app_number, CAST(epoch(l_shipdate) AS BIGINT) AS registration_date,
+    CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) AS contract_amount,
+    row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+      ORDER BY date_trunc('month', l_shipdate) DESC, l_partkey DESC, l_suppkey DESC, l_shipdate DESC) AS rn
+  FROM lineitem) WHERE rn = 1
+UNION ALL SELECT 'other', CAST(n AS VARCHAR), NULL, NULL, 'run-1' FROM (
+  SELECT count(DISTINCT p_partkey) AS n FROM part
+  UNION ALL SELECT count(DISTINCT (l_orderkey, year(l_shipdate))) FROM lineitem
+  UNION ALL SELECT count(DISTINCT s_suppkey) FROM supplier)""")
 def ingest_run_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five dated feeds land as page files; one run ingests them into the
-    wide keyed table; per feed one row per natural key remains."""
+    wide keyed table; transactions and rents are compared row by row (per
+    natural key the last row in arrival order), the other feeds by their
+    number of keys."""
     from functools import reduce as _reduce
 
     from feedyard.demos.feeds import envelope_pages
@@ -197,5 +206,89 @@ def ingest_run_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     land_envelopes(_reduce(DataFrame.unionByName, [envelope_pages(spark, sf_dir, f, terminator=True)
                                                    for f in DATED_FEEDS]), landed)
     wide = WideTable(spark, scratch_path(spark, "tables"), n_buckets=16)
-    ingest_run(spark, landed, wide, "run-1", T1, category=None, rejects_root=scratch_path(spark, "rejects"))
-    return wide.read().groupBy("feed").agg(F.count(F.lit(1)).alias("n_rows"), F.max("_tid").alias("tid"))
+    ingest_run(spark, landed, wide, "run-1", T1, rejects_root=scratch_path(spark, "rejects"))
+    rows = wide.read()
+    told = rows.where(F.col("feed").isin("transactions", "rents")).select(
+        "feed", F.col("app_number").alias("id"), F.coalesce("transaction_date", "registration_date").alias("dated"),
+        F.coalesce("amount_", "contract_amount").alias("amount"), F.col("_tid").alias("tid"))
+    counted = rows.where(~F.col("feed").isin("transactions", "rents")).groupBy("feed").agg(
+        F.count(F.lit(1)).cast("string").alias("id"), F.max("_tid").alias("tid"))
+    return told.unionByName(counted.select(
+        F.lit("other").alias("feed"), "id", F.lit(None).cast("long").alias("dated"), F.lit(None).cast("string").alias("amount"), "tid"))
+
+
+# -- envelope truth: error bodies, bad identity and broken text are rejects ----
+@demo("envelope_rejects", """
+WITH pages AS (SELECT o_orderkey AS k, o_orderkey % 7 AS kind FROM orders)
+SELECT 'kept' AS side, CAST(k AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS reason FROM pages WHERE kind IN (0, 1, 2)
+UNION ALL SELECT 'rejected', CAST(k AS VARCHAR), CASE kind WHEN 3 THEN 'no result array' WHEN 4 THEN 'bad window_start <soon>'
+  WHEN 5 THEN 'malformed page document' ELSE 'bad page_no <>' END FROM pages WHERE kind >= 3""")
+def envelope_rejects_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page document per order, some broken in four ways."""
+    from feedyard.sources.envelopes import bad_envelopes, parse_envelopes
+
+    use_utc(spark)
+    kind, key = F.col("o_orderkey") % 7, F.col("o_orderkey").cast("string")
+    body = F.concat(F.lit('"response":{"result":[{"TRANSACTION_NUMBER":"'), key, F.lit('"}]}}'))
+    head = F.concat(F.lit('{"feed":"transactions","window_start":"2024-01-01","page_no":'), key, F.lit(","))
+    doc = F.when(kind == 3, F.concat(head, F.lit('"error":"timeout"}'))) \
+        .when(kind == 4, F.concat(F.replace(head, F.lit("2024-01-01"), F.lit("soon")), body)) \
+        .when(kind == 5, F.concat(F.lit("<html>"), key)) \
+        .when(kind == 6, F.concat(F.lit('{"window_start":"2024-01-01",'), body)).otherwise(F.concat(head, body))
+    pages = parse_envelopes(table(spark, sf_dir, "orders").select(doc.alias("value")), "transactions")
+    kept = explode_envelope(pages).select(F.lit("kept").alias("side"), F.col("TRANSACTION_NUMBER").alias("id"),
+                                          F.lit(None).cast("string").alias("reason"))
+    number = F.coalesce(F.nullif(F.regexp_extract("raw", r'TRANSACTION_NUMBER":"(\d+)', 1), F.lit("")),
+                        F.nullif(F.regexp_extract("raw", r'page_no":(\d+)', 1), F.lit("")), F.regexp_extract("raw", r"(\d+)$", 1))
+    return kept.unionByName(bad_envelopes(pages).select(F.lit("rejected").alias("side"), number.alias("id"), "reason"))
+
+
+# -- a later crawl wins, whatever page its row moved to ------------------------
+@demo("recrawl", """
+SELECT CAST(o_orderkey AS VARCHAR) AS app_number,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE 'old' END AS amount_ FROM orders""")
+def recrawl_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two crawls of one feed without windows; in the second a third of the
+    records come back, on an earlier page, with a new value."""
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("app_number"), F.lit(None).cast("date").alias("window_start"),
+        F.floor(F.col("o_orderkey") / 100).cast("long").alias("page_no"), F.lit(0).alias("position"))
+    first = rows.select(F.lit("2024-05-01").alias("run"), "*", F.lit("old").alias("amount_"))
+    again = rows.where(F.col("app_number").cast("long") % 3 == 0).select(
+        F.lit("2024-06-01").alias("run"), "app_number", "window_start", F.lit(-1).cast("long").alias("page_no"), "position",
+        F.lit("new").alias("amount_"))
+    table_ = VersionedTable(spark, scratch_path(spark, "tables"), KEYS, n_buckets=16)
+    # out of order on purpose: arrival order decides, not publish order
+    table_.publish(again, order=["run", *ORDER], mode="newest")
+    table_.publish(first, order=["run", *ORDER], mode="newest")
+    return table_.read().select("app_number", "amount_")
+
+
+# -- bucket counts change without losing rows ----------------------------------
+@demo("rebucket", _REPLACE_DUCK)
+def rebucket_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """4 buckets, then 16, then 4 again, with a publish in between."""
+    t, b = target_and_batch(spark, sf_dir)
+    table_ = VersionedTable(spark, scratch_path(spark, "tables"), KEYS, n_buckets=4)
+    table_.publish(t, mode="append", batch_id="initial")
+    table_.rebucket(16)
+    table_.publish(b, order=ORDER, mode="replace", batch_id="batch-1")
+    table_.rebucket(4)
+    table_.compact()
+    return table_.read().select(*COLS)
+
+
+# -- keep mode: what is kept and what is refused is the whole batch -------------
+@demo("keep_and_reject", """
+SELECT l_orderkey AS key, count(*) AS n_batch, 1 AS n_kept, count(*) - 1 AS n_refused
+FROM (SELECT l_orderkey FROM lineitem UNION ALL SELECT l_orderkey FROM lineitem) GROUP BY l_orderkey""")
+def keep_and_reject_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line landed twice with the same arrival position (ties): per key
+    one row is kept and all others are refused."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("at"), "l_partkey")
+    batch = lines.unionByName(lines)
+    kept = upsert(batch.limit(0), batch, ["key"], ["at"], mode="keep").groupBy("key").agg(F.count(F.lit(1)).alias("kept"))
+    refused = reject_duplicates(batch.limit(0), batch, ["key"], ["at"]).groupBy("key").agg(F.count(F.lit(1)).alias("refused"))
+    sizes = batch.groupBy("key").agg(F.count(F.lit(1)).alias("n_batch"))
+    return sizes.join(kept, "key", "left").join(refused, "key", "left").select(
+        "key", "n_batch", F.coalesce("kept", F.lit(0)).cast("int").alias("n_kept"), F.coalesce("refused", F.lit(0)).alias("n_refused"))

@@ -38,7 +38,7 @@ def stream_ingest_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     land_envelopes(envelope_pages(spark, sf_dir, "rents", terminator=True), landed)
     tbl = VersionedTable(spark, scratch_path(spark, "tables"), ["app_number"], n_buckets=16)
     q = stream_ingest(spark, f"{landed}/feed=rents", "rents", tbl, checkpoint=scratch_path(spark, "checkpoints"),
-                      rejects_dir=scratch_path(spark, "rejects"))
+                      rejects_dir=scratch_path(spark, "rejects"), run_id="run-1", as_of="2024-05-01T08:00:00")
     q.awaitTermination()
     if q.exception():
         raise q.exception()
@@ -49,19 +49,17 @@ def stream_ingest_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
 @demo("stream_dedupe", """
 SELECT DISTINCT event_id, user_id, event_type, epoch_us(ts) AS ts_us FROM events""")
 def stream_dedupe_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event delivered twice; the stream keeps one copy of each."""
+    """Every event delivered twice, one file per micro-batch; the stream keeps
+    one copy of each."""
     use_utc(spark)
     events = table(spark, sf_dir, "events")
     src = scratch_path(spark, "stream-in")
-    events.write.parquet(src)
-    events.write.mode("append").parquet(src)  # the second delivery
-    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "checkpoints")
-    stream = spark.readStream.schema(events.schema).parquet(src)
-    deduped = stream_dedupe(stream, ["event_id"], "ts", "1 hour").select(
-        "event_id", "user_id", "event_type", F.unix_micros("ts").alias("ts_us"))
-    q = (deduped.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start())
+    events.repartition(3, "user_id").write.parquet(src)
+    events.repartition(2, "event_id").write.mode("append").parquet(src)  # the second delivery
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    seen = VersionedTable(spark, scratch_path(spark, "tables"), ["event_id"], n_buckets=16)
+    q = stream_dedupe(stream, ["ts"], seen, scratch_path(spark, "checkpoints"))
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return spark.read.parquet(out)
+    return seen.read().select("event_id", "user_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"))

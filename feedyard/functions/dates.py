@@ -8,6 +8,8 @@ where "today" matters the caller passes an ``as_of`` column or literal.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -178,3 +180,13 @@ def next_month_label(d: ColumnOrName) -> Column:
 def request_date(d: ColumnOrName) -> Column:
     """Date as the source service's request parameter text, MM/dd/yyyy."""
     return F.date_format(_c(d), "MM/dd/yyyy")
+
+
+def instant(as_of: _dt.datetime | str | Column) -> Column:
+    """A timestamp column for one instant, whatever the session time zone; a
+    datetime or ISO text without a zone is UTC."""
+    if isinstance(as_of, Column):
+        return as_of
+    at = _dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+    at = at if at.tzinfo else at.replace(tzinfo=_dt.timezone.utc)
+    return F.timestamp_micros(F.lit((at - _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)) // _dt.timedelta(microseconds=1)))

@@ -80,12 +80,15 @@ def _encode_half_sql(hex_sql: str) -> str:
 def surrogate_key(*names: str) -> Column:
     """Repeatable 22-character id over a 63-symbol alphabet.
 
-    MD5 of the key text (parts joined by U+001F); the first and the next 60
+    MD5 of the key text (parts joined by U+001F; a null part is U+001E n, and
+    either character inside a part is led by U+001E, so different keys have
+    different texts); the first and the next 60
     bits (15 hex digits each) are written in base 63, 11 digits each, with
     exact integer division. Same key, same id, on every run and engine.
     Takes column names.
     """
-    parts = ", ".join(f"CAST(`{n}` AS STRING)" for n in names)
+    led = "replace(replace(CAST(`{0}` AS STRING), char(30), char(30) || char(30)), char(31), char(30) || char(31))"
+    parts = ", ".join(f"coalesce({led.format(n)}, char(30) || 'n')" for n in names)
     h = f"md5(concat_ws(char(31), {parts}))"
     return F.expr(f"concat({_encode_half_sql(f'substr({h}, 1, 15)')}, {_encode_half_sql(f'substr({h}, 16, 15)')})")
 

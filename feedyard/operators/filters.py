@@ -1,7 +1,8 @@
 """Selection operators: request-parameter filters and date windows.
 
-Both build plain column predicates, so on a Parquet-backed table they reach
-the scan as pushed filters.
+Both build plain column predicates: on a Parquet-backed table equality and
+date comparisons reach the scan as pushed filters (not through a JSON decode
+or a computed date).
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedyard.schema import PARAM_COLUMNS, feed as get_feed
+from feedyard.schema import CONTROL_PARAMS, FEED_PARAM_COLUMNS, PARAM_COLUMNS, feed as get_feed
 
 
 def _c(c: Column | str) -> Column:
@@ -20,20 +21,36 @@ def _c(c: Column | str) -> Column:
 
 
 # -- O7 ----------------------------------------------------------------------
-def feed_filter(df: DataFrame, params: Mapping[str, str | None]) -> DataFrame:
-    """Conjunctive equality filter; '' or None means "no constraint".
+def feed_filter(df: DataFrame, params: Mapping[str, str | None], feed: str | None = None) -> DataFrame:
+    """Conjunctive filter; '' or None means "no constraint".
 
-    Keys are target column names or request parameter names (``P_*``),
-    which are resolved through the parameter -> column table.
+    Keys are target column names or request parameter names (``P_*``): equality
+    parameters resolve through the parameter -> column table (a feed may have
+    its own column for one), ``P_FROM_DATE`` / ``P_TO_DATE`` (MM/dd/yyyy, both
+    days included) bound the feed's date column, paging and sort parameters
+    constrain nothing, and ``P_DATE_TYPE`` only says which date the service
+    means, which is the feed's date column here. Other names are refused.
     """
     preds = []
     for name, value in params.items():
-        if value is None or value == "":
-            continue
-        column = PARAM_COLUMNS.get(name, name) if name.startswith("P_") else name
-        if name.startswith("P_") and name not in PARAM_COLUMNS:
-            continue  # control parameters (P_DATE_TYPE, paging) constrain no column
-        preds.append(F.col(column) == F.lit(str(value)))
+        if not name.startswith("P_"):
+            if value is not None and value != "":
+                preds.append(F.col(name) == F.lit(str(value)))
+        elif name in PARAM_COLUMNS:
+            column = FEED_PARAM_COLUMNS.get((feed, name), PARAM_COLUMNS[name])
+            if value is not None and value != "":
+                preds.append(F.col(column) == F.lit(str(value)))
+        elif name in ("P_FROM_DATE", "P_TO_DATE"):
+            if value is None or value == "":
+                continue
+            date_column = get_feed(feed).date_column if feed else None
+            if date_column is None:
+                raise ValueError(f"{name} needs a feed with a date column, not {feed!r}")
+            day = F.to_date(F.lit(str(value)), "MM/dd/yyyy")
+            at = F.timestamp_seconds(F.col(date_column))
+            preds.append(at >= day if name == "P_FROM_DATE" else at < F.date_add(day, 1))
+        elif name not in CONTROL_PARAMS:
+            raise ValueError(f"unknown request parameter {name}")
     if not preds:
         return df
     return df.filter(reduce(lambda a, b: a & b, preds))
@@ -41,7 +58,7 @@ def feed_filter(df: DataFrame, params: Mapping[str, str | None]) -> DataFrame:
 
 def feed_default_filter(df: DataFrame, feed: str) -> DataFrame:
     """Apply the filter a feed's default request carries (e.g. units: free hold only)."""
-    return feed_filter(df, dict(get_feed(feed).params))
+    return feed_filter(df, dict(get_feed(feed).params), feed)
 
 
 # -- O8 ----------------------------------------------------------------------

@@ -11,12 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedyard.schema import MAX_ATTEMPTS, MAX_PAGES, PAGE_SIZE
+from feedyard.schema import MAX_PAGES, PAGE_SIZE
 
 _LOW33 = (1 << 33) - 1  # monotonically_increasing_id keeps the row index in the low 33 bits
-# Largest group one task may sort for a row number (rows). Above it, or when
-# numbering a whole table, the range-partitioned path is taken.
-MAX_GROUP_ROWS = 2_000_000
 
 
 def _cols(names: Sequence[str] | str | None) -> list[str]:
@@ -27,20 +24,14 @@ def _cols(names: Sequence[str] | str | None) -> list[str]:
 
 # -- O10 ---------------------------------------------------------------------
 def row_numbers(df: DataFrame, by: Sequence[str] | str | None, order: Sequence[str | Column],
-                out: str = "rn", num_partitions: int | None = None,
-                max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                out: str = "rn", num_partitions: int | None = None) -> DataFrame:
     """1-based row number per ``by`` group in ``order``.
 
-    The strategy follows a measured size. One aggregate (with a map-side
-    partial step) finds the largest group; if it holds at most
-    ``max_group_rows`` rows, a ``Window.partitionBy(by)`` row number is used:
-    one shuffle, each group sorted in one task, which is safe because the
-    group's size is known to be bounded. Otherwise (a group may hold a third
-    of the table, or there is no ``by`` at all) rows are range-partitioned on
-    (by, order) so every task holds a contiguous slice of the global order;
-    each task's rows are numbered locally, and a small table of
-    (group, partition) counts turns local numbers into group numbers. That
-    table has at most ``num_partitions + #groups`` rows.
+    Rows are range-partitioned on (by, order), so every task holds a
+    contiguous slice of the global order, however large a group is; each
+    task's rows are numbered locally, and a small table of (group, partition)
+    counts turns local numbers into group numbers. That table has at most
+    ``num_partitions + #groups`` rows.
 
     ``order`` should be total (break ties with key columns); with ties the
     numbering is still a dense 1..n per group, the order among tied rows is
@@ -56,10 +47,6 @@ def row_numbers(df: DataFrame, by: Sequence[str] | str | None, order: Sequence[s
 
     by = _cols(by)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    if by and max_group_rows:
-        biggest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).first()["m"]
-        if biggest is None or biggest <= max_group_rows:
-            return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order_cols)).cast("bigint"))
     sort_cols = [F.col(c) for c in by] + order_cols
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -79,11 +66,10 @@ def row_numbers(df: DataFrame, by: Sequence[str] | str | None, order: Sequence[s
 
 
 def assign_pages(df: DataFrame, by: Sequence[str] | str | None, order: Sequence[str | Column],
-                 size: int = PAGE_SIZE, num_partitions: int | None = None,
-                 max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                 size: int = PAGE_SIZE, num_partitions: int | None = None) -> DataFrame:
     """Page number and position for every row at once: the page a crawler
     would fetch the row on with ``P_SKIP = page * size`` under this sort."""
-    numbered = row_numbers(df, by, order, out="rn", num_partitions=num_partitions, max_group_rows=max_group_rows)
+    numbered = row_numbers(df, by, order, out="rn", num_partitions=num_partitions)
     return numbered.withColumn("page_no", F.floor((F.col("rn") - 1) / F.lit(size)).cast("bigint")).withColumn(
         "position", ((F.col("rn") - 1) % F.lit(size)).cast("int"))
 
@@ -130,16 +116,18 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
 # -- O5 ----------------------------------------------------------------------
 def resolve_attempts(attempts: DataFrame, by: Sequence[str] = ("feed", "window_start"),
                      page: str = "page_no", attempt: str = "attempt", status: str = "status",
-                     n_records: str = "n_records", max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+                     n_records: str = "n_records", max_attempts: int | None = None) -> DataFrame:
     """The pages a crawler keeps, from the log of its fetch attempts.
 
-    Per page: the first attempt with status 200 among the first
-    ``max_attempts`` tries. A page with no such attempt ends its (feed,
+    Per page: the first attempt with status 200 (among the first
+    ``max_attempts`` tries, where a bound is given). A page with no such attempt ends its (feed,
     window), as does an empty page; pages from that point on are dropped.
     Output: one row per kept page with the winning attempt and its size.
     """
     by = list(by)
-    ok = (F.col(status) == 200) & (F.col(attempt) <= max_attempts)
+    ok = F.col(status) == 200
+    if max_attempts is not None:
+        ok = ok & (F.col(attempt) <= max_attempts)
     per_page = attempts.groupBy(*by, page).agg(
         F.min(F.when(ok, F.col(attempt))).alias(attempt),
         F.min_by(F.col(n_records), F.when(ok, F.col(attempt))).alias(n_records),

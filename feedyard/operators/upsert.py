@@ -18,13 +18,14 @@ import datetime as _dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from feedyard.functions.dates import instant
 from feedyard.schema import AUDIT_COLUMNS
 
 
-def _any_null(keys: Sequence[str]) -> Column:
+def any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
@@ -53,7 +54,7 @@ def _split_null(df: DataFrame, keys: Sequence[str], null_safe: bool) -> tuple[Da
     """
     if null_safe:
         return df, None
-    return df.filter(~_any_null(keys)), df.filter(_any_null(keys))
+    return df.filter(~any_null(keys)), df.filter(any_null(keys))
 
 
 def _anti(left: DataFrame, right_keys: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
@@ -70,14 +71,21 @@ def _semi(left: DataFrame, right_keys: DataFrame, keys: Sequence[str], null_safe
 
 
 # -- batch reduction -----------------------------------------------------------
+def _total_order(df: DataFrame, order: Sequence[str | Column]) -> list[Column]:
+    """``order`` made total: remaining (orderable) columns break its ties."""
+    named = [c for c in order if isinstance(c, str)]
+    rest = [F.col(f.name) for f in df.schema.fields
+            if f.name not in named and f.dataType.typeName() not in ("map", "variant")]
+    return [F.col(c) if isinstance(c, str) else c for c in order] + rest
+
+
 def _reduce_parts(batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column], keep: str,
                   null_safe: bool) -> tuple[DataFrame, DataFrame | None]:
     """(one row per non-null key, null-key rows passed through or None)."""
-    cols = batch.columns
-    row = F.struct(*[F.col(c) for c in cols])
-    pick = F.max_by if keep == "last" else F.min_by
     nonnull, nulls = _split_null(batch, keys, null_safe)
-    reduced = nonnull.groupBy(*keys).agg(pick(row, _order_struct(order)).alias("_r")).select("_r.*")
+    by = _total_order(batch, order)
+    ranked = Window.partitionBy(*keys).orderBy(*[c.desc() if keep == "last" else c.asc() for c in by])
+    reduced = nonnull.withColumn("_at", F.row_number().over(ranked)).where("_at = 1").drop("_at")
     return reduced, nulls
 
 
@@ -85,15 +93,20 @@ def reduce_batch(batch: DataFrame, keys: Sequence[str], order: Sequence[str | Co
                  null_safe: bool = False) -> DataFrame:
     """One row per key: the last (``keep='last'``) or first row in ``order``.
 
-    ``max_by``/``min_by`` over a struct of the whole row is an ordinary
-    aggregate with a map-side partial step, so a hot key is combined before
-    the shuffle instead of landing whole in one task. ``order`` must be total
-    within a key. Null-key rows pass through unreduced unless ``null_safe``.
+    A row number limited to 1: Spark keeps the top row per key of each task
+    before the shuffle, so a hot key is reduced there instead of landing
+    whole in one task. Ties in ``order`` are broken by the other columns.
+    Null-key rows pass through unreduced unless ``null_safe``.
     """
     reduced, nulls = _reduce_parts(batch, keys, order, keep, null_safe)
     return reduced if nulls is None else reduced.unionByName(nulls)
 
 
+def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column], last: bool) -> DataFrame:
+    """``reduce_batch`` under ``=`` keys, by flag."""
+    return reduce_batch(batch, keys, order, "last" if last else "first")
+
+
 # -- O25 / O26 -----------------------------------------------------------------
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
            mode: str = "replace", null_safe: bool = False) -> DataFrame:
@@ -105,22 +118,22 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequ
     ``reject_duplicates`` for the refused rows.
     """
     keys = list(keys)
-    if mode == "replace":
-        reduced, nulls = _reduce_parts(batch, keys, order, "last", null_safe)
-        kept = _anti(target, _key_frame(reduced, keys), keys, null_safe)
-        out = kept.unionByName(reduced.select(*target.columns))
-        return out if nulls is None else out.unionByName(nulls.select(*target.columns))
-    if mode == "keep":
-        reduced, nulls = _reduce_parts(batch, keys, order, "first", null_safe)
-        tk = _key_frame(_split_null(target, keys, null_safe)[0], keys)
-        new = reduced.join(tk, on=_key_cond(reduced, tk, keys, "_k_", null_safe), how="left_anti")
-        out = target.unionByName(new.select(*target.columns))
-        return out if nulls is None else out.unionByName(nulls.select(*target.columns))
+    columns = target.columns
+    if mode in ("replace", "keep"):
+        reduced, nulls = _reduce_parts(batch, keys, order, "last" if mode == "replace" else "first", null_safe)
+        old, old_nulls = _split_null(target, keys, null_safe)
+        both = old.withColumn("_new", F.lit(False)).unionByName(reduced.select(*columns).withColumn("_new", F.lit(True)))
+        # one exchange for both sides: a key's rows of the winning side stay
+        side = F.max("_new") if mode == "replace" else F.min("_new")
+        out = both.withColumn("_side", side.over(Window.partitionBy(*keys))).where("_new = _side").select(*columns)
+        for extra in (old_nulls, nulls):
+            out = out if extra is None else out.unionByName(extra.select(*columns))
+        return out
     if mode == "newest":
         # like replace, but a target row later in ``order`` than every batch
         # row of its key survives: the result does not depend on how rows
         # were split into batches (micro-batches may arrive out of order)
-        b = batch.select(*target.columns)
+        b = batch.select(*columns)
         bk = _key_frame(_split_null(b, keys, null_safe)[0], keys)
         contenders = _semi(target, bk, keys, null_safe).unionByName(b)
         untouched = _anti(target, bk, keys, null_safe)
@@ -147,16 +160,23 @@ def reject_duplicates(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     """Batch rows refused in ``keep`` mode, with the reason: the key is in the
     target already, or an earlier batch row took it."""
     keys = list(keys)
-    tk = _key_frame(_split_null(target, keys, null_safe)[0], keys)
+    columns = batch.columns
     matchable = _split_null(batch, keys, null_safe)[0]  # a null-key row is never a duplicate
-    in_target = _semi(matchable, tk, keys, null_safe)
-    fresh = matchable.join(tk, on=_key_cond(matchable, tk, keys, "_k_", null_safe), how="left_anti")
-    ord_struct = _order_struct(order)
-    firsts = fresh.groupBy(*keys).agg(F.min(ord_struct).alias("_first"))
+    tk = _key_frame(_split_null(target, keys, null_safe)[0], keys)
+    # equal rows first become one with a count, so that all but one of them
+    # can be refused; a hot key's copies collapse before the shuffle
+    counted = matchable.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    in_target = _semi(counted, tk, keys, null_safe)
+    fresh = counted.join(tk, on=_key_cond(counted, tk, keys, "_k_", null_safe), how="left_anti")
+    at = F.struct(*_total_order(batch, order))
+    firsts = fresh.groupBy(*keys).agg(F.min(at).alias("_first"))
     firsts = firsts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_first")
-    later = fresh.join(firsts, on=_key_cond(fresh, firsts, keys, "_k_", null_safe), how="inner") \
-        .filter(ord_struct != F.col("_first")).select(*batch.columns)
-    return in_target.unionByName(later).withColumn("reason", duplicate_reason(keys))
+    # an inner join, which AQE splits on a hot key
+    later = fresh.join(firsts, on=_key_cond(fresh, firsts, keys, "_k_", null_safe), how="inner").withColumn(
+        "_n", F.when(at.eqNullSafe(F.col("_first")), F.col("_n") - 1).otherwise(F.col("_n")))
+    refused = in_target.unionByName(later.select(*columns, "_n")).where("_n > 0")
+    each = refused.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    return each.select(*columns).withColumn("reason", duplicate_reason(keys))
 
 
 def quarantine(records: DataFrame, feed: str) -> DataFrame:
@@ -181,18 +201,10 @@ def stamp(df: DataFrame, run_id: str, as_of: _dt.datetime | str | Column, previo
     """Audit columns: ``_tid`` = run id, ``updated_at`` = as_of, ``created_at``
     kept from the row being replaced (``previous``, matched on ``keys``) or
     as_of for a new row."""
-    ts = as_of if isinstance(as_of, Column) else F.lit(str(as_of)).cast("timestamp")
+    ts = instant(as_of)
     base = df.drop(*[c for c in AUDIT_COLUMNS if c in df.columns])
-    if previous is None or not keys:
-        created = ts
-        out = base
-    else:
-        prev = previous.filter(~_any_null(keys)).groupBy(*keys).agg(F.min("created_at").alias("_prev_created"))
-        prev = prev.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_prev_created")
-        out = base.join(prev, on=_key_cond(base, prev, keys, "_k_", False), how="left").drop(*[f"_k_{k}" for k in keys])
-        created = F.coalesce(F.col("_prev_created"), ts)
-    out = out.withColumn("_tid", F.lit(run_id)).withColumn("created_at", created).withColumn("updated_at", ts)
-    return out.drop("_prev_created") if "_prev_created" in out.columns else out
+    fresh = base.withColumn("_tid", F.lit(run_id)).withColumn("created_at", ts).withColumn("updated_at", ts)
+    return fresh if previous is None or not keys else carry_created_at(fresh, previous, keys)
 
 
 def carry_created_at(batch: DataFrame, previous: DataFrame, keys: Sequence[str]) -> DataFrame:

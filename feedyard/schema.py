@@ -317,6 +317,10 @@ FEEDS: dict[str, Feed] = {
     for name in DATED_FEEDS + SNAPSHOT_FEEDS
 }
 PARAM_COLUMNS = dict(_PARAM_COLUMNS)
+#: Where a feed fills another column than the general one.
+FEED_PARAM_COLUMNS = {("projects", "P_ZONE_ID"): "zone_authority"}
+#: Paging, sort and date-kind parameters: they constrain no column.
+CONTROL_PARAMS = frozenset({"P_TAKE", "P_SKIP", "P_SORT", "P_DATE_TYPE"})
 
 
 def feed(name: str) -> Feed:

@@ -45,19 +45,16 @@ def use_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared work folder (``spark.checkpoint.dir``).
 
-    Set to a fresh local folder only when the session has none configured.
+    A local session without one gets a fresh local folder; a cluster session
+    must name one, since executors could not see each other's local files.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_DIRS.get(id(spark))
     if not configured:
-        # Only reached where the session names no shared folder (tests, local).
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="feedyard-ckpt-")
         _LOCAL_DIRS[id(spark)] = configured
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - no driver-side context (remote session)
-        sc = None
-    if sc is not None and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 

@@ -25,6 +25,7 @@ def envelope_schema(feed: Feed) -> T.StructType:
     """Explicit schema: no inference pass over the landed data."""
     return T.StructType([
         T.StructField("feed", T.StringType()),
+        T.StructField("run", T.StringType()),
         T.StructField("window_start", T.StringType()),
         T.StructField("page_no", T.LongType()),
         T.StructField("response", T.StructType([
@@ -38,31 +39,44 @@ def envelope_schema(feed: Feed) -> T.StructType:
 def parse_envelopes(text: DataFrame, feed: str | Feed, value: str = "value") -> DataFrame:
     """Decode envelope documents held in a text column.
 
-    Output: feed, window_start (date), page_no, records (array of structs),
-    n_records, and ``_corrupt_record`` (the raw text) where the document
-    does not decode. The page identity comes from the document when it
+    Output: feed, run, window_start (date), page_no, records (array of
+    structs), n_records, and for a bad document ``_corrupt_record`` (its raw
+    text) and ``bad_reason``: it does not decode, has no ``result`` array (an
+    error body; only a present, empty array is an empty page), or its window
+    or page number is not one. ``run`` names the crawl that landed the page
+    (null where the landing has none). The page identity comes from the document when it
     carries one; a bare service body (``{"response": ...}`` only) takes it
-    from ``window_start`` / ``page_no`` columns of the input, e.g. partition
-    folders ``window_start=.../page_no=.../`` of the landing layout.
+    from ``run`` / ``window_start`` / ``page_no`` columns of the input, e.g.
+    partition folders ``window_start=.../page_no=.../`` of the landing layout.
     """
     f = get_feed(feed) if isinstance(feed, str) else feed
     doc = F.from_json(F.col(value), envelope_schema(f),
                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    side = [c for c in ("window_start", "page_no") if c in text.columns]
-    parsed = text.select(doc.alias("d"), *[F.col(c).alias(f"_path_{c}") for c in side])
-    window = F.col("d.window_start")
-    page = F.col("d.page_no")
+    side = [c for c in ("run", "window_start", "page_no") if c in text.columns]
+    parsed = text.select(F.col(value).alias("_raw"), doc.alias("d"), *[F.col(c).alias(f"_path_{c}") for c in side])
+    window, page, run = F.col("d.window_start"), F.col("d.page_no"), F.col("d.run")
+    page_text = F.lit(None).cast("string")
+    if "run" in side:
+        run = F.coalesce(run, F.col("_path_run").cast("string"))
     if "window_start" in side:
         window = F.coalesce(window, F.col("_path_window_start").cast("string"))
     if "page_no" in side:
-        page = F.coalesce(page, F.col("_path_page_no").cast("bigint"))
+        page_text = F.col("_path_page_no").cast("string")
+        page = F.coalesce(page, page_text.try_cast("bigint"))
+    start = F.try_to_date(window)
+    reason = F.when(F.col(f"d.{CORRUPT}").isNotNull() | F.col("d").isNull(), F.lit("malformed page document")).when(
+        F.col("d.response.result").isNull(), F.lit("no result array")).when(
+        window.isNotNull() & start.isNull(), F.format_string("bad window_start <%s>", window)).when(
+        page.isNull(), F.concat(F.lit("bad page_no <"), F.coalesce(page_text, F.lit("")), F.lit(">")))
     return parsed.select(
         F.coalesce(F.col("d.feed"), F.lit(f.name)).alias("feed"),
-        F.to_date(window).alias("window_start"),
+        run.alias("run"),
+        start.alias("window_start"),
         page.alias("page_no"),
         F.col("d.response.result").alias("records"),
-        F.coalesce(F.size(F.col("d.response.result")), F.lit(0)).alias("n_records"),
-        F.col(f"d.{CORRUPT}").alias(CORRUPT),
+        F.size(F.col("d.response.result")).alias("n_records"),
+        F.when(reason.isNotNull(), F.col("_raw")).alias(CORRUPT),
+        reason.alias("bad_reason"),
     )
 
 
@@ -75,23 +89,28 @@ def read_envelopes(spark: SparkSession, path: str | Sequence[str], feed: str | F
 
 
 def bad_envelopes(pages: DataFrame) -> DataFrame:
-    """Documents that did not decode, with a reason (for the rejects table)."""
-    return pages.filter(F.col(CORRUPT).isNotNull()).select(
-        "feed", F.col(CORRUPT).alias("raw"), F.lit("malformed page document").alias("reason"))
+    """Bad documents, with the reason (for the rejects table)."""
+    return pages.filter(F.col("bad_reason").isNotNull()).select(
+        "feed", F.col(CORRUPT).alias("raw"), F.col("bad_reason").alias("reason"))
+
+
+def good_envelopes(pages: DataFrame) -> DataFrame:
+    return pages.filter(F.col("bad_reason").isNull())
 
 
 # -- O2 ----------------------------------------------------------------------
 def explode_envelope(pages: DataFrame) -> DataFrame:
-    """One row per record: feed, window_start, page_no, position, then the
-    record's fields. (page_no, position) is the arrival order."""
-    good = pages.filter(F.col(CORRUPT).isNull())
-    rows = good.select("feed", "window_start", "page_no", F.posexplode("records").alias("position", "rec"))
-    return rows.select("feed", "window_start", "page_no", F.col("position").cast("int"), "rec.*")
+    """One row per record: feed, run, window_start, page_no, position, then
+    the record's fields. (run, window_start, page_no, position) is the arrival
+    order: a later crawl comes after an earlier one."""
+    rows = good_envelopes(pages).select(
+        "feed", "run", "window_start", "page_no", F.posexplode("records").alias("position", "rec"))
+    return rows.select("feed", "run", "window_start", "page_no", F.col("position").cast("int"), "rec.*")
 
 
 # -- landing: the inverse of O1/O2, used for fixtures and round trips ---------
 def envelopes_from_pages(paged: DataFrame, feed: str | Feed, window: str = "window_start",
-                         terminator: bool = False) -> DataFrame:
+                         terminator: bool = False, run: str | None = None) -> DataFrame:
     """Group records that already carry ``page_no``/``position`` (see
     ``assign_pages``) into page documents. Each page holds a bounded number
     of records, so the per-page ``collect_list`` is bounded. With
@@ -107,6 +126,7 @@ def envelopes_from_pages(paged: DataFrame, feed: str | Feed, window: str = "wind
         pages = pages.unionByName(ends.select("_win", "page_no", empty.alias("_result")))
     doc = F.to_json(F.struct(
         F.lit(f.name).alias("feed"),
+        F.lit(run).cast("string").alias("run"),
         F.col("_win").alias("window_start"),
         F.col("page_no"),
         F.struct(F.col("_result").alias("result")).alias("response"),

@@ -1,33 +1,40 @@
 """Incremental ingest with Structured Streaming.
 
 ``stream_ingest`` (O42): landed page documents -> decode -> explode ->
-reject malformed rows -> project -> upsert into a versioned table, one
-publish per micro-batch. Exactly once: the file source tracks which files
-were read in the checkpoint, and the table records the highest micro-batch
-id it committed for the query, so a batch retried after a failure changes
-nothing; rejects go to one folder per micro-batch, overwritten on retry.
+reject malformed rows -> project -> stamp -> conform -> upsert into a
+versioned table, one publish per micro-batch, the same row path as a batch
+run. Exactly once: the file source tracks which files were read in the
+checkpoint, and the table records the highest micro-batch id it committed for
+the query, so a batch retried after a failure changes nothing; rejects go to
+one folder per micro-batch, overwritten on retry.
+
+Stopping at the first empty page (O4) is a decision over all pages of a
+window; a stream sees them in pieces, so it takes every page that lands.
 
 ``stream_dedupe`` (O43): drop records delivered twice (adjacent windows
-share a boundary day) with state bounded by a watermark.
+share a boundary day), exactly, against the keyed table. ``dedupe_recent``
+does so in bounded state within a watermark.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from feedyard.operators.project import project_feed, split_malformed
+from feedyard.operators.project import conform, project_feed, split_malformed
+from feedyard.operators.upsert import stamp
+from feedyard.plans.run import ARRIVAL, raw_json
+from feedyard.session import use_utc
 from feedyard.sinks.table import VersionedTable
 from feedyard.sources.envelopes import bad_envelopes, explode_envelope, parse_envelopes
 
-ARRIVAL = ("window_start", "page_no", "position")
-
 
 def stream_ingest(spark: SparkSession, in_dir: str, feed: str, table: VersionedTable, checkpoint: str,
-                  rejects_dir: str | None = None, available_now: bool = True,
+                  rejects_dir: str, run_id: str, as_of: dt.datetime | str, available_now: bool = True,
                   max_files_per_trigger: int | None = None, query_name: str | None = None,
                   mode: str = "newest") -> StreamingQuery:
     """Start the ingest stream; returns the running query.
@@ -35,9 +42,10 @@ def stream_ingest(spark: SparkSession, in_dir: str, feed: str, table: VersionedT
     With ``available_now`` the query processes what has landed and stops
     (``trigger(availableNow=True)``), which suits scheduled runs. ``mode``
     ``newest`` (default) keeps, per key, the row latest in arrival order
-    (window, page, position) whatever micro-batch it came in; ``replace``
+    (run, window, page, position) whatever micro-batch it came in; ``replace``
     lets a later micro-batch win, as the one-item-at-a-time source does.
     """
+    use_utc(spark)
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
@@ -45,18 +53,17 @@ def stream_ingest(spark: SparkSession, in_dir: str, feed: str, table: VersionedT
     name = query_name or f"ingest_{feed}"
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        # one micro-batch is read by several actions (bucket ids, publish,
-        # rejects): decode it once; a lost block is recomputed from the files
+        # one micro-batch feeds two actions (publish, rejects): decode it
+        # once; a lost block is recomputed from the files
         pages = parse_envelopes(batch, feed).persist()
         try:
-            rows = explode_envelope(pages)
-            good, bad_rows = split_malformed(rows, feed)
-            table.publish(project_feed(good, feed), order=list(ARRIVAL), mode=mode, stream_mark=(name, batch_id))
-            if rejects_dir:
-                # one folder per micro-batch, overwritten on replay: idempotent
-                raw = F.to_json(F.struct(*[c for c in bad_rows.columns if c != "reason"])).alias("raw")
-                rejected = bad_rows.select("feed", raw, "reason").unionByName(bad_envelopes(pages))
-                rejected.write.mode("overwrite").parquet(f"{rejects_dir}/batch_id={batch_id}")
+            good, bad_rows = split_malformed(explode_envelope(pages), feed)
+            ok, refused = conform(stamp(project_feed(good, feed), run_id, as_of), widen=False)
+            table.publish(ok, order=list(ARRIVAL), mode=mode, stream_mark=(name, batch_id), keep_created=True)
+            # one folder per micro-batch, overwritten on replay: idempotent
+            rejected = bad_rows.select("feed", raw_json(bad_rows, "reason"), "reason").unionByName(
+                refused.select("feed", raw_json(refused, "reason"), "reason")).unionByName(bad_envelopes(pages))
+            rejected.write.mode("overwrite").parquet(f"{rejects_dir}/batch_id={batch_id}")
         finally:
             pages.unpersist()
 
@@ -65,12 +72,26 @@ def stream_ingest(spark: SparkSession, in_dir: str, feed: str, table: VersionedT
     return writer.start()
 
 
-def stream_dedupe(df: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
-    """Drop duplicates of ``keys`` arriving within ``delay`` of each other.
+def stream_dedupe(df: DataFrame, order: Sequence[str], table: VersionedTable, checkpoint: str,
+                  available_now: bool = True, query_name: str = "dedupe") -> StreamingQuery:
+    """Keep the first delivery of every key, exactly, however late another
+    comes and however the input is split into micro-batches: each micro-batch
+    is published into ``table``, by its keys, with mode ``keep`` (insert if
+    absent); ``order`` decides inside a micro-batch."""
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        table.publish(batch, order=list(order), mode="keep", stream_mark=(query_name, batch_id))
+
+    writer = df.writeStream.queryName(query_name).option("checkpointLocation", checkpoint).foreachBatch(publish)
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()
+
+
+def dedupe_recent(df: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
+    """Drop duplicates of ``keys`` arriving within ``delay`` of each other, in
+    state bounded by the delay.
 
     The event-time column is cast to ``TIMESTAMP`` (watermarks reject
-    ``TIMESTAMP_NTZ``). State per key is dropped once the watermark passes
-    it, so memory stays bounded by the delay, not by the stream's history.
+    ``TIMESTAMP_NTZ``). Rows behind the watermark are not passed on: use this
+    where lateness is known to stay below ``delay``, else ``stream_dedupe``.
     """
     with_time = df.withColumn(event_time, F.col(event_time).cast("timestamp"))
     return with_time.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))

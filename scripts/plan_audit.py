@@ -84,7 +84,7 @@ def range_path_plan(spark, sf: str) -> str:
     from feedyard.sources.fixtures import table
     li = table(spark, sf, "lineitem").withColumn("window_start", F.trunc("l_shipdate", "MM"))
     numbered = row_numbers(li, ["window_start"], ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                                  "l_shipdate"], max_group_rows=0)
+                                                  "l_shipdate"])
     return executed_plan(numbered)
 
 

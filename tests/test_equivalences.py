@@ -1,5 +1,6 @@
 """Equivalences between operators."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -49,12 +50,12 @@ def test_page_k_equals_page_slice(spark):
 import pytest  # noqa: E402
 
 
-@pytest.mark.parametrize("max_group_rows", [0, None, 10**9])
-def test_row_numbers_both_paths_agree(spark, max_group_rows):
+@pytest.mark.parametrize("partitions", [1, 5, 40])
+def test_row_numbers_agree_with_a_window(spark, partitions):
     """Range path (0 / None) and window path (large bound) give the same numbers."""
     li = table(spark, SF_SMALL, "lineitem").withColumn("g", F.col("l_orderkey") % 3)
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
-    rn = row_numbers(li, ["g"], order, num_partitions=5, max_group_rows=max_group_rows)
+    rn = row_numbers(li, ["g"], order, num_partitions=partitions)
     stats = rn.groupBy("g").agg(F.count("*").alias("n"), F.min("rn").alias("lo"), F.max("rn").alias("hi"),
                                 F.count_distinct("rn").alias("d")).collect()
     for s in stats:
@@ -103,6 +104,7 @@ def test_stream_in_many_micro_batches_equals_batch(spark):
     land_envelopes(pages, landed)
     tbl = VersionedTable(spark, scratch_path(spark, "test-table"), ["app_number"], n_buckets=4)
     q = stream_ingest(spark, f"{landed}/feed=rents", "rents", tbl, checkpoint=scratch_path(spark, "test-ckpt"),
+                      rejects_dir=scratch_path(spark, "test-rejects"), run_id="r", as_of="2024-05-01T00:00:00",
                       max_files_per_trigger=1)
     q.awaitTermination()
     assert q.exception() is None
@@ -158,3 +160,67 @@ def test_bare_service_bodies_take_identity_from_the_path(spark):
     direct = feeds.feed_rows(spark, SF_SMALL, "developers")
     cols = ["DEVELOPER_NUMBER", "DEVELOPER_EN", "LICENSE_SOURCE_EN", "page_no", "position"]
     assert _rows(rows, cols) == _rows(direct, cols)
+
+
+def test_first_of_many_batch_ids_is_remembered(spark):
+    """A replay is a no-op however many batches came after it."""
+    t, b = sinks.target_and_batch(spark, SF_SMALL)
+    tbl = VersionedTable(spark, scratch_path(spark, "test-table"), sinks.KEYS, n_buckets=4)
+    tbl.publish(t, mode="append", batch_id="first")
+    for k in range(1500):
+        tbl._fs.touch(tbl._marker(f"batch-{k}"))
+    v = tbl.publish(b, order=sinks.ORDER, batch_id="second")
+    assert tbl.publish(t, order=sinks.ORDER, batch_id="first") == v
+    assert tbl.publish(b, order=sinks.ORDER, batch_id="batch-0") == v
+
+
+def test_marker_of_a_publish_cut_short_is_made_up(spark):
+    t, b = sinks.target_and_batch(spark, SF_SMALL)
+    tbl = VersionedTable(spark, scratch_path(spark, "test-table"), sinks.KEYS, n_buckets=4)
+    tbl.publish(t, mode="append", batch_id="a")
+    tbl._fs.delete(tbl._marker("a"))  # as if the driver died right after the commit
+    assert tbl.publish(t, order=sinks.ORDER, batch_id="a") == 1
+    assert tbl.has_batch("a")
+
+
+def test_bucket_count_and_keys_belong_to_the_table(spark):
+    t, b = sinks.target_and_batch(spark, SF_SMALL)
+    root = scratch_path(spark, "test-table")
+    VersionedTable(spark, root, sinks.KEYS, n_buckets=4).publish(t, mode="append")
+    with pytest.raises(ValueError):
+        VersionedTable(spark, root, sinks.KEYS, n_buckets=16).publish(b, order=sinks.ORDER)
+    with pytest.raises(ValueError):
+        VersionedTable(spark, root, ["usage_"], n_buckets=4).read()
+    with pytest.raises(ValueError):
+        VersionedTable(spark, root, sinks.KEYS, n_buckets=4).publish(b, order=sinks.ORDER, mode="newest")
+    tbl = VersionedTable(spark, root, sinks.KEYS, n_buckets=4)
+    for n in (16, 4):
+        tbl.rebucket(n)
+        assert _rows(tbl.read(), sinks.COLS) == _rows(t, sinks.COLS)
+
+
+def test_modes_fold_like_sequential_upserts(spark):
+    """Deltas read back equal the batches applied one after the other."""
+    li = table(spark, SF_SMALL, "lineitem").select((F.col("l_orderkey") % 40).alias("k"), F.col("l_partkey").alias("v"), F.col("l_linenumber").alias("o"))
+    parts = [li.where(F.col("v") % 5 == p).where(F.col("k") % (p + 2) != 0) for p in range(5)]
+    tbl = VersionedTable(spark, scratch_path(spark, "test-table"), ["k"], n_buckets=3)
+    state = li.limit(0)
+    for p, (part, mode) in enumerate(zip(parts, ["replace", "keep", "replace", "keep", "replace"])):
+        tbl.publish(part, order=["o", "v"], mode=mode)
+        state = upsert(state, part, ["k"], ["o", "v"], mode=mode)
+        if p == 2:
+            tbl.compact()
+    assert _rows(tbl.read(), ["k", "v", "o"]) == _rows(state, ["k", "v", "o"])
+    tbl.compact()
+    tbl.expire(keep=1)
+    assert tbl.versions() == tbl.versions()[-1:]
+    assert _rows(tbl.read(), ["k", "v", "o"]) == _rows(state, ["k", "v", "o"])
+
+
+def test_own_statement_in_the_sink(spark):
+    t, b = sinks.target_and_batch(spark, SF_SMALL)
+    tbl = VersionedTable(spark, scratch_path(spark, "test-table"), sinks.KEYS, n_buckets=4)
+    tbl.publish(t, mode="append")
+    tbl.run_statement("SELECT * FROM {target} WHERE usage_ = :u UNION ALL SELECT * FROM {batch}", b, {"u": "F"}, batch_id="s")
+    assert _rows(tbl.read(), sinks.COLS) == _rows(t.where("usage_ = 'F'").unionByName(b), sinks.COLS)
+    assert tbl.has_batch("s")

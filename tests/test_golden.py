@@ -235,3 +235,56 @@ def test_feed_filter_parameters(spark):
     assert [(r.free_hold, r.transaction_type, r.area_) for r in got] == [("1", "Sale", "A")]
     units = spark.createDataFrame([("1",), ("0",), (None,)], "free_hold string")
     assert [r.free_hold for r in feed_default_filter(units, "units").collect()] == ["1"]
+
+
+def test_feed_filter_dates_and_unknown_names(spark):
+    from feedyard.operators.filters import feed_filter
+    df = spark.createDataFrame([("1", 1704067200, "z"), ("2", 1706659200 + 86399, "z"), ("3", 1706745600, "q")],
+                               "project_number string, start_date long, zone_authority string")
+    from feedyard.schema import feed as get_feed
+    column = get_feed("projects").date_column
+    df = df.withColumnRenamed("start_date", column)
+    got = feed_filter(df, {"P_FROM_DATE": "01/01/2024", "P_TO_DATE": "01/31/2024", "P_ZONE_ID": "z"}, "projects")
+    assert sorted(r.project_number for r in got.collect()) == ["1", "2"]
+    with pytest.raises(ValueError):
+        feed_filter(df, {"P_AERA_ID": "7"}, "projects")
+    with pytest.raises(ValueError):
+        feed_filter(df, {"P_FROM_DATE": "01/01/2024"})
+
+
+def test_request_plan_has_every_page(spark):
+    from feedyard.plans.requests import request_plan, select_feeds
+    windows = spark.createDataFrame([], "window_start date, window_end date")
+    counts = spark.createDataFrame([("units", None, 915_000)], "feed string, window_start date, n_records long")
+    assert request_plan(select_feeds(spark, "units"), windows, counts=counts).count() == 9150
+
+
+def test_keep_mode_ties_are_kept_or_refused(spark):
+    batch = _kv(spark, [("1", "y", 1), ("1", "y", 1), ("1", "z", 1), ("2", "p", 3), (None, "n", 1), (None, "n", 1)])
+    target = _kv(spark, [("2", "x", 0)])
+    kept = upsert(target, batch, ["k"], ["seq"], mode="keep").count() - target.count()
+    assert kept + reject_duplicates(target, batch, ["k"], ["seq"]).count() == batch.count()
+
+
+def test_surrogate_keys_tell_nulls_and_parts_apart(spark):
+    from feedyard.functions.text import surrogate_key
+    rows = [("a", None), (None, "a"), ("a\x1fb", "c"), ("a", "b\x1fc"), (None, None), ("", ""), ("n", "n"), ("\x1en", "\x1en")]
+    ids = [r[0] for r in spark.createDataFrame(rows, "x string, y string").select(surrogate_key("x", "y")).collect()]
+    assert len(set(ids)) == len(rows)
+
+
+def test_conform_rejects_values_that_do_not_cast(spark):
+    from feedyard.operators.project import conform
+    df = spark.createDataFrame([("brokers", "1", "x", "t"), ("brokers", "2", "17", "t")], "feed string, broker_number string, start_date string, _tid string")
+    ok, rej = conform(df)
+    assert [(r.broker_number, r.start_date) for r in ok.collect()] == [("2", 17)]
+    assert [r.reason for r in rej.collect()] == ["start_date: not a bigint <x>"]
+
+
+def test_bad_identity_is_a_reject(spark):
+    from feedyard.sources.envelopes import bad_envelopes, parse_envelopes
+    docs = ['{"window_start":"soon","page_no":1,"response":{"result":[]}}', '{"page_no":1,"response":{"result":[]}}']
+    pages = parse_envelopes(spark.createDataFrame([(d,) for d in docs], "value string"), "rents")
+    assert [r.reason for r in bad_envelopes(pages).collect()] == ["bad window_start <soon>"]
+    path = spark.createDataFrame([('{"response":{"result":[]}}', "x")], "value string, page_no string")
+    assert [r.reason for r in bad_envelopes(parse_envelopes(path, "rents")).collect()] == ["bad page_no <x>"]

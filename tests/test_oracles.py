@@ -12,10 +12,12 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from check_oracles import digest  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
+from feedyard.demos import registry  # noqa: E402
+from feedyard.demos.registry import load_all  # noqa: E402
 from feedyard.sources.fixtures import TABLES  # noqa: E402
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+load_all()
+QUERIES, ORACLES = dict(registry.QUERIES), dict(registry.ORACLES)
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +31,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert sorted(QUERIES) == sorted(ORACLES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

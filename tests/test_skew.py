@@ -40,18 +40,27 @@ def test_hot_key_upsert_is_exact(spark):
 def test_reduction_is_partial_before_shuffle(spark):
     batch, _ = _hot_batch(spark)
     plan = reduce_batch(batch, ["k"], ORDER)._jdf.queryExecution().executedPlan().toString()
-    # map-side partial aggregate, then the exchange, then the final merge
-    assert "partial_max_by" in plan
-    assert plan.index("partial_max_by") > plan.index("Exchange hashpartitioning(k")
+    # the top row per key of each task, then the exchange, then the final top row
+    assert "SortAggregate" not in plan
+    partial = [line for line in plan.splitlines() if "WindowGroupLimit" in line and "Partial" in line]
+    assert partial and plan.index(partial[0]) > plan.index("Exchange hashpartitioning(k")
 
 
-def test_hot_group_row_numbers_take_range_path(spark):
+def test_replace_has_two_exchanges(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        batch, _ = _hot_batch(spark)
+        plan = upsert(batch.limit(0), batch, ["k"], ORDER)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") <= 2 and "SortAggregate" not in plan
+
+
+def test_hot_group_row_numbers(spark):
     li = table(spark, SF_SMALL, "lineitem").withColumn("g", F.when(F.col("l_orderkey") % 3 == 0, 0).otherwise(
         F.col("l_orderkey") % 7 + 1))
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
-    biggest = li.groupBy("g").count().agg(F.max("count")).first()[0]
-    # a bound below the hot group forces the range-partitioned path
-    rn = row_numbers(li, ["g"], order, num_partitions=6, max_group_rows=biggest - 1)
+    rn = row_numbers(li, ["g"], order, num_partitions=6)
     from pyspark.sql import Window
     ref = li.withColumn("ref", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
     joined = rn.join(ref.select(*order, "ref"), on=order)
