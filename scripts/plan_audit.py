@@ -16,7 +16,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from feedyard.demos import registry  # noqa: E402
+from feedyard.demos.registry import load_all  # noqa: E402
 from feedyard.session import local_session  # noqa: E402
 
 FLAGS = {
@@ -40,12 +41,6 @@ EXPECTED_SINGLE = {
     "parse_taxonomy": "min(p_type) of the fixture (partial aggregation first)",
     "page_slice": "top-k (TakeOrderedAndProject): the k+offset rows only",
 }
-_SNAPSHOT = ("row number over a feed without windows (one group): its size was measured first and is under "
-             "MAX_GROUP_ROWS, so the one-task sort is bounded; a larger group takes the range-partitioned path")
-for _q in ("project_brokers", "project_developers", "project_lands", "project_projects", "project_units",
-           "feed_filter", "to_wide"):
-    EXPECTED_SINGLE[_q] = _SNAPSHOT
-EXPECTED_SINGLE["to_wide"] = _SNAPSHOT + " (five such feeds)"
 
 
 def executed_plan(df) -> str:
@@ -76,8 +71,8 @@ SHOWCASE = {
 
 
 def range_path_plan(spark, sf: str) -> str:
-    """Executed plan of the range-partitioned row numbering (forced with a
-    zero group bound): the write of locally numbered rows, then offsets."""
+    """Executed plan of the range-partitioned row numbering after the write of
+    its locally numbered rows: the offsets."""
     from pyspark.sql import functions as F
 
     from feedyard.operators.paging import row_numbers
@@ -94,16 +89,17 @@ def main() -> None:
     names = [a for a in args if not a.startswith("/")]
     spark = local_session()
     spark.conf.set("spark.sql.adaptive.enabled", "true")
-    qs = E.queries()
+    # as on tables that do not fit a broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    load_all()
+    qs = dict(registry.QUERIES)
     lines = ["# PLANS", "", f"Executed physical plans of every demo at `{sf}` (final adaptive plans), audited by",
              "`scripts/plan_audit.py`: joins, shuffle count, pushed filters, and flags for nested-loop",
-             "joins, single-partition exchanges and Python evaluation. Only the final job of each demo",
-             "is shown: eager steps before it (the measured group size and, above the bound, the",
-             "range-partitioned numbering written to the shared folder; fixture tables written once;",
-             "the publish of a versioned table) are separate jobs. Broadcast joins below were chosen by",
-             "the planner from size estimates under `spark.sql.autoBroadcastJoinThreshold` or by AQE from",
-             "measured sizes; the only forced broadcast in the library is the eight-row feed registry in",
-             "`request_plan`.", "",
+             "joins, single-partition exchanges and Python evaluation. Automatic broadcasts are off.",
+             "Only the final job of each demo is shown: eager steps before it (the range-partitioned",
+             "numbering and fixture tables written to the shared folder, the publish of a versioned",
+             "table) are separate jobs.", "",
              "| query | joins | shuffles | nested loop | single partition | python | pushed filters |",
              "| --- | --- | --- | --- | --- | --- | --- |"]
     notes = []
@@ -130,7 +126,7 @@ def main() -> None:
             plan = executed_plan(qs[name](spark, sf))
             lines += [f"### {name}", "", why + ".", "", "```", plan.strip(), "```", ""]
         lines += ["### row_numbers, range-partitioned path", "",
-                  "Forced with `max_group_rows=0`: the locally numbered rows were written to the shared folder by a",
+                  "The locally numbered rows were written to the shared folder by a",
                   "separate job (range exchange + sort); this plan reads them back, counts rows per (group,",
                   "partition), turns the counts into offsets and joins them back.", "", "```",
                   range_path_plan(spark, sf).strip(), "```", ""]
