@@ -212,15 +212,16 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     """text, lang of at most ``per_language`` labelled rows of each language.
 
     Rows come in order of a hash of their id. A first pass counts rows per
-    language, so that the hash alone thins each language to about twice its
-    bound before the exact cut: no language is gathered whole.
+    language (few by nature: the model keeps a machine per pair), so that the
+    hash alone thins each language to about twice its bound where it is read;
+    only that reaches the exact cut, and no language is gathered whole.
     """
     rows = docs.where(may_train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    counts = rows.groupBy(F.col(lang_col).alias("_lang")).agg(F.count("*").alias("_n"))
+    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).agg(F.count("*")).collect()}
+    share = F.create_map(*[F.lit(v) for lang, n in sorted(counts.items()) for v in (lang, (2.0 * per_language + 50) / n)])
     place = F.pmod(F.xxhash64(F.lit("train"), F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
-    thin = rows.select(
-        F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(id_col).alias("_id"), place.alias("_place"),
-    ).join(counts, F.col("lang") == F.col("_lang")).where(F.col("_place") * F.col("_n") < 2.0 * per_language + 50)
+    chosen = rows.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(id_col).alias("_id"), place.alias("_place"))
+    thin = chosen.where(F.col("_place") < F.try_element_at(share, F.col("lang"))) if counts else chosen
     order = Window.partitionBy("lang").orderBy("_place", "_id")
     return thin.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= per_language).select("text", "lang")
 
