@@ -11,7 +11,8 @@ one cell (fragment and replicate, both sides in blocks), in two passes:
    floor over |q| times the bucket's longest length. Above 1 the bucket is
    skipped for the query. A high threshold prunes by coordinates: with cosine
    at least t to the unit query u, a unit vector's coordinate f lies within
-   u_f t +- sqrt((1 - t^2)(1 - u_f^2)), tested on the query's largest
+   u_f t +- sqrt((1 - t^2)(1 - u_f^2)), but may rise to 1 where u_f >= t and
+   fall to -1 where u_f <= -t; this is tested on the query's largest
    coordinates. Otherwise it prunes by length: only the prefix of the bucket
    with |q||p| at or above the floor. What is left is verified by exact
    products, and the best k per query and bucket are merged.
@@ -158,8 +159,10 @@ def _survivors(q: np.ndarray, q_norm: float, floor: float, norms: np.ndarray, pa
             continue
         reach = np.sqrt(max(0.0, (1 - t * t) * (1 - u[f] * u[f]))) + ROOM
         unit = parts[alive, f] / np.maximum(norms[alive], 1e-300)
-        alive = alive[np.abs(unit - u[f] * t) <= reach] if reach < 1 else alive[
-            (unit >= u[f] * t - reach) & (unit <= u[f] * t + reach)]
+        # the axis itself lies in the cap around u: its end is open
+        high = np.inf if u[f] >= t else u[f] * t + reach
+        low = -np.inf if u[f] <= -t else u[f] * t - reach
+        alive = alive[(unit >= low) & (unit <= high)]
     return alive
 
 

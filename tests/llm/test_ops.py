@@ -256,6 +256,32 @@ def test_topk_pruning_keeps_all_that_reach_the_floor():
             assert set(np.flatnonzero(scores >= floor)) <= kept
 
 
+@pytest.mark.parametrize("sign", [1, -1])
+def test_topk_with_a_dominant_coordinate(spark, sign):
+    # long vectors at a cosine near 0.9 fill the lead bucket; the best matches lie in the buckets after it
+    rnd = np.random.default_rng(4)
+    n_long, n_near = topk.BLOCK_ROWS + 50, topk.BLOCK_ROWS + 900
+    side = rnd.normal(size=(n_long, 8))
+    far = np.c_[np.full(n_long, 900), 550 * side / np.sqrt((side ** 2).sum(axis=1))[:, None]]
+    near = np.c_[np.full(n_near, 990), 25 * rnd.normal(size=(n_near, 8))]
+    whole = np.round(np.r_[far, near] * [sign, *[1] * 8])
+    whole = whole[rnd.permutation(len(whole))]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(whole)], "id long, vector array<double>")
+    got = rows_of(topk.exact_topk(df.where("id % 50 = 0"), df, 5))
+    want = []
+    for i in range(0, len(whole), 50):
+        scores = (whole @ whole[i]).astype(int)
+        want += [(i, r + 1, j, scores[j]) for r, j in enumerate(sorted(set(range(len(whole))) - {i}, key=lambda j: (-scores[j], j))[:5])]
+    assert sorted(got) == sorted(want)
+    norms = np.sqrt((near ** 2).sum(axis=1))
+    near = (near * [sign, *[1] * 8])[np.argsort(-norms)]
+    norms = np.sort(norms)[::-1]
+    for q in near[::300]:
+        floor = 0.92 * np.sqrt(q @ q) * norms[0]
+        kept = set(np.arange(n_near)[topk._survivors(q, np.sqrt(q @ q), floor, norms, near)])
+        assert set(np.flatnonzero(near @ q >= floor)) <= kept
+
+
 # --- op7 -------------------------------------------------------------------
 def test_lines_against_brute_force(spark):
     rnd = random.Random(8)
