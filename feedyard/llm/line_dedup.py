@@ -10,7 +10,9 @@ from the corpus.
 
 Lines are compared by two 64-bit hashes of their trimmed text. A line of
 fewer than ``min_words`` words is never boilerplate: short sentences recur by
-chance.
+chance. Words are counted by spaces or, where that finds too few, by any
+Unicode white space and in scripts without spaces by length: two characters
+of Han or Hiragana, four of Katakana, Thai, Lao, Khmer or Myanmar are a word.
 
 Defined results: null texts stay null; empty texts have no boilerplate; null
 sites count as no site; rows with equal id and text are one document to the
@@ -30,6 +32,9 @@ from feedyard.llm.common import landed
 MIN_SITES = 8
 #: Words below which a line is left alone.
 MIN_WORDS = 3
+#: A word of a line in any script; begun words of unspaced scripts count.
+_PAIRS, _FOURS = r"\p{IsHan}\p{IsHiragana}", r"\p{IsKatakana}\u30FC\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+WORD = rf"(?U)[{_PAIRS}]{{1,2}}+|[{_FOURS}]{{1,4}}+|[\w&&[^{_PAIRS}{_FOURS}]][^\s{_PAIRS}{_FOURS}]*+"
 #: log2 of the sketch's registers: about 1.6 % standard error.
 LOG_K = 12
 #: Estimates within this factor of the threshold are counted exactly.
@@ -51,7 +56,7 @@ def site_lines(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_w
         F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("_pos", "_line"),
     ).withColumn("_line", F.trim("_line"))
     spaced = F.char_length("_line") - F.char_length(F.translate("_line", " ", ""))
-    return lines.where(spaced >= min_words - 1).select(
+    return lines.where((spaced >= min_words - 1) | (F.regexp_count("_line", F.lit(WORD)) >= min_words)).select(
         "_id", "_site", "_row1", "_row2", "_pos",
         F.xxhash64(F.lit(1), "_line").alias("_h1"), F.xxhash64(F.lit(2), "_line").alias("_h2"),
     )

@@ -314,6 +314,17 @@ def test_lines_against_brute_force(spark):
     assert line_dedup.remove_boilerplate(docs(spark, rows).limit(0), "doc_id", "text", "source").count() == 0
 
 
+def test_lines_of_any_script_are_boilerplate(spark):
+    gone = ["\u672c\u7ad9\u6240\u6709\u5185\u5bb9\u7248\u6743\u6240\u6709" * 40, "\u30d7\u30e9\u30a4\u30d0\u30b7\u30fc\u30dd\u30ea\u30b7\u30fc\u306f\u3053\u3061\u3089",
+            "\u0e2a\u0e07\u0e27\u0e19\u0e25\u0e34\u0e02\u0e2a\u0e34\u0e17\u0e18\u0e34\u0e4c\u0e15\u0e32\u0e21\u0e01\u0e0e\u0e2b\u0e21\u0e32\u0e22",
+            "all\trights\treserved", "tous\u00a0droits\u00a0r\u00e9serv\u00e9s", "read more here"]
+    stay = ["\u9690\u79c1\u653f\u7b56", "Read more", "Read\tmore", "\u00abA.\u00bb - b", "***", "\u8c22\u8c22\u3002"]
+    rows = [(k, "\n".join([f"own line of {k}", *gone, *stay]), None, f"s{k}") for k in range(9)]
+    got = {r.doc_id: r.text.split("\n") for r in line_dedup.remove_boilerplate(docs(spark, rows), "doc_id", "text", "source").collect()}
+    # "\u00abA.\u00bb - b" has two spaces: three words by spaces
+    assert got == {k: [f"own line of {k}", *(x for x in gone + stay if not k or x in stay and x.count(" ") < 2)] for k in range(9)}
+
+
 # --- op8 -------------------------------------------------------------------
 def plain_windows(text, items):
     def words(t):
