@@ -5,8 +5,8 @@ line are first sketched: one HyperLogLog sketch per line hash, merged by
 aggregation, so a hot line is reduced before its shuffle. Lines whose
 estimate lies near the threshold get an exact distinct count; for the others
 the estimate decides. Boilerplate lines are removed everywhere but at their
-first occurrence (smallest document id, then position), so no content is lost
-from the corpus.
+first occurrence (smallest document id, then row hashes, then position), so no
+content is lost from the corpus and one distinct document keeps the line.
 
 Lines are compared by two 64-bit hashes of their trimmed text. A line of
 fewer than ``min_words`` words is never boilerplate: short sentences recur by
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 
 from feedyard.llm.common import landed
 
+#: What orders the occurrences of a line.
+PLACE = ("_id", "_row1", "_row2", "_pos")
 #: Distinct sites from which a line is boilerplate.
 MIN_SITES = 8
 #: Words below which a line is left alone.
@@ -66,11 +68,11 @@ def boilerplate_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     """_h1, _h2, _sites, _keep of the lines on ``min_sites`` sites or more.
 
     ``_sites`` is exact near the threshold and an estimate above; ``_keep``
-    is the first occurrence (id, position).
+    is the first occurrence (id, row hashes, position).
     """
     spread = lines.groupBy("_h1", "_h2").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("_site", LOG_K)).alias("_sites"),
-        F.min(F.struct("_id", "_pos")).alias("_keep"),
+        F.min(F.struct(*PLACE)).alias("_keep"),
         F.count("*").alias("_n"),
     ).where((F.col("_sites") * NEAR >= min_sites) & (F.col("_n") >= min_sites))
     spread = landed(spread.drop("_n"), "line-spread")
@@ -96,7 +98,7 @@ def remove_boilerplate(
     boiler = boilerplate_lines(lines, min_sites)
     gone = (
         lines.join(boiler.select("_h1", "_h2", "_keep"), ["_h1", "_h2"])
-        .where(~F.struct("_id", "_pos").eqNullSafe(F.col("_keep")))
+        .where(~F.struct(*PLACE).eqNullSafe(F.col("_keep")))
         .groupBy("_row1", "_row2").agg(F.sort_array(F.collect_set("_pos")).alias("_gone"))
     )
     text = F.col(text_col)

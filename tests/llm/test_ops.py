@@ -325,6 +325,14 @@ def test_lines_of_any_script_are_boilerplate(spark):
     assert got == {k: [f"own line of {k}", *(x for x in gone + stay if not k or x in stay and x.count(" ") < 2)] for k in range(9)}
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_one_text_keeps_a_line_where_ids_repeat(spark, doc_id):
+    rows = [(doc_id, f"a shared header line\nown text of {k}", None, f"s{k}") for k in range(12)]
+    got = line_dedup.remove_boilerplate(docs(spark, rows + rows[:1]), "doc_id", "text", "source").collect()
+    assert {r.text.split("\n")[-1] for r in got} == {t.split("\n")[1] for _, t, _, _ in rows} and len(got) == 13
+    assert len({r.text for r in got if r.text.startswith("a shared")}) == 1
+
+
 # --- op8 -------------------------------------------------------------------
 def plain_windows(text, items):
     def words(t):
