@@ -59,6 +59,10 @@ OUT = "id long, lang_pred string, score double"
 _OTHER = re.compile(r"[\W\d_]+")
 
 
+def has_letters(text: str | None) -> bool:
+    return bool(text) and not _OTHER.fullmatch(text)
+
+
 def family_of(lang: str, families: dict[str, tuple[str, ...]] = FAMILIES) -> str:
     return next((f for f, members in families.items() if lang in members), lang)
 
@@ -151,7 +155,7 @@ class LanguageModel:
 
 def train(rows: list[tuple[str, str]], families: dict[str, tuple[str, ...]] = FAMILIES) -> LanguageModel | None:
     """Fit from (text, language) rows; None if no row has a letter."""
-    kept = [(t, lang) for t, lang in rows if t and not _OTHER.fullmatch(t)]
+    kept = [(t, lang) for t, lang in rows if has_letters(t)]
     if not kept:
         return None
     x = np.stack([features(text) for text, _ in kept])
@@ -175,7 +179,7 @@ class Predictor:
         self.part = {id(m): slice(e - len(m.pairs), e) for m, e in zip(machines, ends)}
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or _OTHER.fullmatch(text):
+        if not has_letters(text):
             return UNKNOWN, 0.0
         margins = self.weights @ features(text) + self.bias
         kind, sure = self.model.families.choose(margins[self.part[id(self.model.families)]])
@@ -184,14 +188,21 @@ class Predictor:
         return lang, sure * inner_sure
 
 
-def _keep(pickled):
-    """Passes on the rows (text last) whose language is not ``und``."""
+def _identify(pickled):
+    """Passes on the rows with letters; the last two columns are the text and
+    the label, and a label that is null is filled with the prediction."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pickle.loads(pickled.value)
         predictor = Predictor(model) if model is not None else None
         for batch in batches:
-            said = [predictor.predict(t)[0] if predictor else UNKNOWN for t in batch.columns[-1].to_pylist()]
-            yield batch.filter(pa.array([lang != UNKNOWN for lang in said]))
+            texts, labels = batch.columns[-2].to_pylist(), batch.columns[-1].to_pylist()
+            kept = [has_letters(t) for t in texts]
+            said = [
+                predictor.predict(t)[0] if predictor and keep and label is None else label
+                for t, label, keep in zip(texts, labels, kept)
+            ]
+            filled = pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(said, batch.columns[-1].type)], schema=batch.schema)
+            yield filled.filter(pa.array(kept, pa.bool_()))
     return run
 
 
@@ -232,11 +243,16 @@ def _learned(docs: DataFrame, id_col: str, text_col: str, lang_col: str, may_tra
 
 
 def keep_identified(docs: DataFrame, id_col: str, text_col: str, lang_col: str, may_train: Column, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """``docs``, all columns, without the rows whose language is ``und``."""
+    """``docs``, all columns, without the rows that have no letter (``und``).
+
+    A null in ``lang_col`` becomes the predicted language; it stays null if
+    nothing could be learned. Labels that are given stay as they are, so only
+    rows without one are predicted.
+    """
     model = _learned(docs, id_col, text_col, lang_col, may_train, per_language)
-    # the text comes twice: once in its place, once last for the predictor
-    wide = docs.select("*", F.col(text_col).alias("_identified"))
-    return wide.mapInArrow(_keep(model), wide.schema).drop("_identified")
+    # text and label come twice: in their places, and last for the predictor
+    wide = docs.select("*", F.col(text_col).alias("_identified"), F.col(lang_col).cast("string").alias("_said"))
+    return wide.mapInArrow(_identify(model), wide.schema).withColumn(lang_col, F.col("_said")).drop("_identified", "_said")
 
 
 def detect(docs: DataFrame, id_col: str, text_col: str, lang_col: str, may_train: Column, per_language: int = PER_LANGUAGE) -> DataFrame:

@@ -477,3 +477,18 @@ def test_language_held_out_accuracy(spark):
     nothing = language.detect(made, "doc_id", "text", "lang", may_train=F.lit(False))
     assert {r.lang_pred for r in nothing.collect()} == {"und"}
     assert language.detect(made.limit(0), "doc_id", "text", "lang", may_train=F.lit(True)).count() == 0
+
+
+def test_identified_documents_are_kept_and_named(spark):
+    words = {"en": "the thing with their house", "de": "der sch\u00f6ne gro\u00dfe Wald ich"}
+    rows = [(k, f"{words[lang]} {k}", lang) for k in range(60) for lang in [sorted(words)[k % 2]]]
+    rows += [(100, words["en"], None), (101, words["de"], None), (102, "12 !?", None), (None, words["de"], None), (103, words["en"], "xx")]
+    made = docs(spark, rows)
+    want = Counter((i, t, lang or ("en" if t == words["en"] else "de")) for i, t, lang in rows if i != 102)
+    got = language.keep_identified(made, "doc_id", "text", "lang", may_train=F.col("doc_id") < 100)
+    assert Counter((r.doc_id, r.text, r.lang) for r in got.collect()) == want and got.columns == made.columns
+    # nothing to learn from: labels null throughout, or none may be used
+    for bare, allowed in ((made.withColumn("lang", F.lit(None).cast("string")), F.lit(True)), (made, F.lit(False))):
+        left = language.keep_identified(bare, "doc_id", "text", "lang", may_train=allowed).collect()
+        want = Counter((r.doc_id, r.text, r.lang) for r in bare.collect() if r.doc_id != 102)
+        assert Counter((r.doc_id, r.text, r.lang) for r in left) == want
