@@ -258,11 +258,19 @@ def _verify(threshold: float):
 def similar_groups(
     docs: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, recall: float = RECALL,
 ) -> tuple[DataFrame, DataFrame]:
-    """(documents, keep).
+    """``documents`` and ``keep`` of ``grouped``."""
+    return grouped(docs, id_col, text_col, threshold, recall)[:2]
+
+
+def grouped(
+    docs: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, recall: float = RECALL,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, keep, wordless).
 
     ``documents``: id_col, class_id, n_links, one row per document. ``keep``:
     id, t1, t2, n_same: the one document of each class that stays (smallest
     id), by id and text hashes, and how many equal rows share them.
+    ``wordless``: t1, t2 of the texts without words, each once.
     """
     rows, bands = choose_bands(threshold, recall)
     keyed = _keyed(docs, id_col, text_col)
@@ -311,16 +319,19 @@ def similar_groups(
     by_set = named.drop("rep").join(firsts.select("label", "class_id"), "label").select("k1", "k2", "class_id", "n_links")
     documents = worded.select("id", "k1", "k2").join(by_set, ["k1", "k2"]).select("id", "class_id", "n_links").unionByName(
         empty.select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
-    return documents.withColumnRenamed("id", id_col), firsts.select("rep.id", "rep.t1", "rep.t2", "rep.n_same")
+    keep = firsts.select("rep.id", "rep.t1", "rep.t2", "rep.n_same")
+    return documents.withColumnRenamed("id", id_col), keep, empty.select("t1", "t2").distinct()
 
 
 def drop_similar(docs: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each class, and all texts without words."""
-    _, keep = similar_groups(docs, id_col, text_col, threshold)
+    _, keep, wordless = grouped(docs, id_col, text_col, threshold)
     text = F.col(text_col)
     keys = {"_t1": F.xxhash64(F.lit(1), text), "_t2": F.xxhash64(F.lit(2), text)}
-    named = keep.select(F.col("id").alias("_id"), F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), "n_same").withColumnRenamed("n_same", "_same")
-    found = docs.withColumns(keys).join(named, ["_t1", "_t2"]).where(F.col(id_col).cast("long").eqNullSafe(F.col("_id")))
-    once = found.where("_same = 1").unionByName(found.where("_same > 1").dropDuplicates(["_id", "_t1", "_t2"]))
-    wordless = docs.where(text.isNull() | ~text.rlike(r"(?U)\w"))
-    return once.drop("_id", "_t1", "_t2", "_same").unionByName(wordless)
+    # 0 stands for texts without words, which all stay
+    staying = keep.unionByName(wordless.withColumn("n_same", F.lit(0).cast("long")), allowMissingColumns=True)
+    named = staying.select(F.col("id").alias("_id"), F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), F.col("n_same").alias("_same"))
+    found = docs.withColumns(keys).join(named, ["_t1", "_t2"]).where(
+        (F.col("_same") == 0) | F.col(id_col).cast("long").eqNullSafe(F.col("_id")))
+    once = found.where("_same < 2").unionByName(found.where("_same > 1").dropDuplicates(["_id", "_t1", "_t2"]))
+    return once.drop("_id", "_t1", "_t2", "_same")

@@ -426,6 +426,15 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, block):
     assert ngram_join.similar_groups(docs(spark, rows).limit(0), "doc_id", "text")[0].count() == 0
 
 
+def test_near_duplicates_of_signs_and_marks(spark):
+    worded = ["\U0001f600\U0001f601", "\u2460\u2461", "\u00bd", "plain words"]
+    without = ["\u0301\u0301", "\u203f", "...", "", None]
+    rows = [(10 * k + j, t) for k, t in enumerate(worded + without) for j in range(1 + k % 2 * 2)] + [(None, "\u203f"), (80, ""), (80, "")]
+    left = ngram_join.drop_similar(docs(spark, rows), "doc_id", "text").collect()
+    want = [(10 * k, t) for k, t in enumerate(worded)] + [r for r in rows if r[1] in without]
+    assert Counter((r.doc_id, r.text) for r in left) == Counter(want)
+
+
 def test_bands_reach_the_recall():
     for s in (0.5, 0.8, 0.95):
         rows, bands = ngram_join.choose_bands(s, 0.999, 300)
