@@ -6,8 +6,10 @@ from __future__ import annotations
 import os
 import re
 import sys
-from collections import Counter
+from collections import Counter, defaultdict
+from hashlib import sha256
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,6 +52,72 @@ def test_run_matches_stages(spark):
     assert 0 < out.count() <= spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
+def model_of_the_pipeline(docs, items):
+    """The five stages in plain Python: (doc_id, text, source) rows with
+    distinct ids -> what ``run`` returns."""
+    tokenizers, public_tokenizers = pytest.importorskip("tokenizers"), pytest.importorskip("public_tokenizers")
+    library = tokenizers.Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.VOCABULARY))
+    docs = [(i, t, s) for i, t, s in docs if any(c.isalpha() for c in t or "")]
+    # lines on 8 sites or more go, but for the first in order of id
+    sites, first = defaultdict(set), {}
+    for i, t, s in sorted(docs):
+        for p, line in enumerate(t.split("\n")):
+            line = line.strip(" ")
+            if line.count(" ") >= 2 or len(line.split()) >= 3 or len(re.findall("[\u4e00-\u9fff]", line)) >= 5:
+                sites[line].add(s)
+                first.setdefault(line, (i, p))
+    kept = []
+    for i, t, _ in sorted(docs):
+        lines = [x for p, x in enumerate(t.split("\n")) if len(sites[x.strip(" ")]) < 8 or first[x.strip(" ")] == (i, p)]
+        if "".join(lines).strip() or len(lines) == len(t.split("\n")):
+            kept.append((i, "\n".join(lines)))
+    # classes over links at a similarity of 0.8, of which the smallest id stays
+    sets = []
+    for _, t in kept:
+        w = re.findall(r"\w+", t.lower())
+        sets.append({tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    label = list(range(len(kept)))
+    for a in range(len(kept)):
+        for b in range(a):
+            if label[a] != label[b] and sets[a] and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+                low, high = sorted((label[a], label[b]))
+                label = [low if x == high else x for x in label]
+    kept = [doc for k, doc in enumerate(kept) if label[k] == k]
+    # windows of 10 words, or the whole of a shorter item
+    def words(t):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), t))
+    windows = {tuple(w[k:k + 10]) for w in map(words, items) for k in range(max(1, len(w) - 9)) if w}
+    out = Counter()
+    for i, t in kept:
+        w = words(t)
+        if not any(tuple(w[k:k + n]) in windows for n in {len(x) for x in windows} for k in range(len(w) - n + 1)):
+            ids = library.encode(t, add_special_tokens=False).ids
+            told = library.decode(ids, skip_special_tokens=False)
+            out[i, len(ids), sha256(np.array(ids, "<u4").tobytes()).hexdigest(), sha256(told.encode()).hexdigest()] += 1
+    return out
+
+
+@pytest.mark.parametrize("labelled", [True, False])
+def test_run_against_brute_force(spark, tmp_path, labelled):
+    start = spark.read.parquet(f"{SF}/documents.parquet")
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    words = ["alpha", "beta", "gamma", "delta", "omega"]
+    han, tabbed = "\u672c\u7ad9\u6240\u6709\u5185\u5bb9\u7248\u6743\u6240\u6709", "all\trights\treserved"
+    texts = [f"{han}\n{' '.join(f'{w}{k}' for w in words * 2)}\n{tabbed}\nshared closing line here" for k in range(20)]
+    texts += [han, "shared closing line here\n \t", "12 34 !!", "", None, "Read more", "\u2460\u2461 a", "\U0001f600"]
+    texts += [" ".join(f"copy{k}" for k in range(60)) + tail for tail in ("", " x", " y z", " \u00bd")]
+    texts += [f"Before it. {items.first().text} After it."]
+    extra = [(9000 + k, t, None if k % 3 else "en", f"t{k % 11}", len(t or "")) for k, t in enumerate(texts)]
+    docs = start.unionByName(spark.createDataFrame(extra, start.schema))
+    if not labelled:
+        docs = docs.withColumn("lang", F.lit(None).cast("string"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = Counter(tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    want = model_of_the_pipeline([(r.doc_id, r.text, r.source) for r in docs.collect()], [r.text for r in items.collect()])
+    assert got == want and len(want) > 100
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracle(spark, name):
     duckdb = pytest.importorskip("duckdb")
