@@ -117,8 +117,9 @@ def op4_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedyard.llm.sharding import shard_rows
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return shard_rows(docs, "doc_id", "text", n_shards=40, row_cost=16).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+    # the texts travel to their shards, and are summed there
+    return shard_rows(docs, "doc_id", "text", n_shards=40, row_cost=16, carry=("text",)).select(
+        "doc_id", "size", F.crc32("carried.text").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

@@ -8,6 +8,7 @@ import re
 import sys
 from collections import Counter, defaultdict
 from hashlib import sha256
+from zlib import crc32
 
 import numpy as np
 import pytest
@@ -142,6 +143,14 @@ def test_op4_law(spark):
     assert max(sizes.values()) <= sum(sizes.values()) / 40 + max(r.size for r in rows)
 
 
+def test_op4_moves_the_texts(spark):
+    made = queries.QUERIES["op4_shard"](spark, SF)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "carried" in plan[plan.index("Window"):]
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert {r.doc_id: r.text_crc32 for r in made.collect()} == {i: None if t is None else crc32(t.encode()) for i, t in texts.items()}
+
+
 def test_op10_folds(spark):
     rows = queries.QUERIES["op10_language"](spark, SF).join(
         spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.col("lang").alias("said")), "doc_id").collect()
