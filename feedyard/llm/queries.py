@@ -276,3 +276,72 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(told("base"), 256).alias("base_sha256"), told("spans").alias("spans"),
         (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
     )
+
+
+_OP11 = r"""
+WITH RECURSIVE given AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, c - c % 20 AS donor, xor(4294967295, list_reduce(
+      list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT),
+      lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END),
+      4294967295::BIGINT)) % 4 AS h
+  FROM (SELECT DISTINCT c FROM given)
+), built AS (
+  SELECT k.c, role, text, row_number() OVER (PARTITION BY k.c ORDER BY part, i) AS d FROM (
+    SELECT convs.c, 0 AS part, i, role, text FROM convs JOIN given ON given.c = donor AND i <= h
+    UNION ALL SELECT c, 1, i, role, text FROM given JOIN convs USING (c) WHERE i > h) k
+), walk AS (
+  SELECT c, 0::BIGINT AS d, '' AS k, NULL::VARCHAR AS p, 0::BIGINT AS words FROM convs
+  UNION ALL
+  SELECT b.c, b.d, md5(concat(w.k, '|', length(role), ':', role, text)), w.k,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))
+  FROM walk w JOIN built b ON b.c = w.c AND b.d = w.d + 1
+), ends AS (
+  SELECT k, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends
+  FROM (SELECT c, arg_max(k, d) AS k FROM walk GROUP BY c) GROUP BY k
+), nodes AS (
+  SELECT k, any_value(p) AS p, any_value(d) AS d, min(c) AS c, count(*) AS n, any_value(words) AS words FROM walk GROUP BY k
+), kids AS (
+  SELECT p AS k, count(*) AS n_children FROM nodes WHERE p IS NOT NULL GROUP BY p
+), own AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children, (n - 1) * words AS saved FROM nodes LEFT JOIN kids USING (k)
+), sums AS (
+  SELECT a.k, count(*) FILTER (own.n_children = 0) AS n_leaves, sum(own.saved)::BIGINT AS saved
+  FROM own JOIN walk a ON a.c = own.c AND a.d <= own.d GROUP BY a.k
+)
+SELECT own.c AS conv_id, own.d AS depth, up.c AS parent_conv_id, own.n AS n_convs, own.n_children, n_leaves,
+  sums.saved AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM own JOIN sums USING (k) LEFT JOIN ends USING (k) LEFT JOIN nodes up ON up.k = own.p
+"""
+
+
+@query("op11_prefix_trie", _OP11)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedyard.llm.prefix_trie import prefix_trie
+
+    c = F.col("c")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie(turns, "conv_id", "turn", "role", "text",
+                       head=F.crc32(c.cast("string")) % 4, donor=c - c % 20, most_head=3)
+
+
+@query("op12_token_counts")
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from feedyard.llm.token_counts import count_tokens
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, "doc_id", "text", public_tokenizers.path("piece_bpe_32k.model")).withColumn(
+        "over_limit", F.col("n_tokens") > 4096)
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedyard.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id", "embedding")
