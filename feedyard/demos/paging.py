@@ -12,7 +12,7 @@ from feedyard.demos.feeds import projected
 from feedyard.demos.registry import demo
 from feedyard.operators.filters import feed_default_filter, window_filter
 from feedyard.operators.paging import assign_pages, cap_audit, page_slice, resolve_attempts, take_until_empty
-from feedyard.operators.windows import assign_windows, windows_for
+from feedyard.operators.windows import assign_windows, unassigned, windows_for
 from feedyard.plans.requests import request_plan, select_feeds
 from feedyard.schema import DATED_FEEDS, feed as get_feed
 from feedyard.session import use_utc
@@ -52,6 +52,39 @@ def assign_windows_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("window_end").cast("string").alias("window_end"))
 
 
+# Two windows per customer, of days to years, that overlap; the second is closed.
+_LONG_FIRST = "date_add(DATE'1992-01-01', CAST(c_custkey * 37 % 1500 AS INT))"
+_LONG_WINDOWS = """
+w AS (SELECT c_custkey, s AS ws, s + CAST(c_custkey % 9 * 150 + 1 AS INT) AS we, false AS is_last
+      FROM (SELECT c_custkey, DATE '1992-01-01' + CAST(c_custkey * 37 % 1500 AS INT) AS s FROM customer)
+      UNION ALL SELECT c_custkey, s + 90, s + 90 + CAST(c_custkey % 400 AS INT), true
+      FROM (SELECT c_custkey, DATE '1992-01-01' + CAST(c_custkey * 37 % 1500 AS INT) AS s FROM customer)),
+o AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders),
+hit AS (SELECT o_orderkey, ws, we FROM o JOIN w ON o_custkey = c_custkey AND d >= ws AND (d < we OR (is_last AND d = we)))"""
+
+
+@demo("assign_long_windows", f"""
+WITH {_LONG_WINDOWS}
+SELECT o_orderkey, CAST(ws AS VARCHAR) AS window_start, CAST(we AS VARCHAR) AS window_end FROM hit
+UNION ALL SELECT o_orderkey, NULL, NULL FROM o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM hit)""")
+def assign_long_windows_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order with the windows of its customer that it lies in, and the
+    orders in none."""
+    o = _orders(spark, sf_dir).select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_orderdate")
+    first = F.expr(_LONG_FIRST)
+    second = F.date_add(first, 90)
+    c = table(spark, sf_dir, "customer")
+    windows = c.select("c_custkey", first.alias("window_start"), F.date_add(first, (F.col("c_custkey") % 9 * 150 + 1).cast("int")).alias("window_end"),
+                       F.lit(False).alias("is_last")).unionByName(
+        c.select("c_custkey", second.alias("window_start"), F.date_add(second, (F.col("c_custkey") % 400).cast("int")).alias("window_end"),
+                 F.lit(True).alias("is_last")))
+    hit = assign_windows(o, "o_orderdate", windows, by=["c_custkey"]).select(
+        "o_orderkey", *[F.col(x).cast("string").alias(x) for x in ("window_start", "window_end")])
+    none = unassigned(o, "o_orderdate", windows, by=["c_custkey"]).select(
+        "o_orderkey", *[F.lit(None).cast("string").alias(x) for x in ("window_start", "window_end")])
+    return hit.unionByName(none)
+
+
 # -- O3 ----------------------------------------------------------------------
 def _body_sql(feed: str, skip_sql: str) -> str:
     f = get_feed(feed)

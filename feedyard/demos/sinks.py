@@ -176,6 +176,37 @@ def write_then_read_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_.read().select(*COLS)
 
 
+# -- many publishes: levels are merged on the way ------------------------------
+@demo("many_publishes", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM lineitem)
+WHERE rn = 1""")
+def many_publishes_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One publish per line number, each replacing most of the keys of the one
+    before; with two folders a level the publishes merge over three levels."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    table_ = VersionedTable(spark, scratch_path(spark, "tables"), ["l_orderkey"], n_buckets=8, fanout=2)
+    for n in range(1, 8):  # line numbers run from 1 to 7
+        table_.publish(lines.where(F.col("l_linenumber") == n), order=["l_linenumber", "l_partkey", "l_suppkey"])
+    return table_.read()
+
+
+@demo("merge_small_batch", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 7 THEN 'new' ELSE 'old' END AS said FROM orders
+UNION ALL SELECT o_orderkey + 100000000, 'added' FROM orders WHERE o_orderkey % 100 = 7""")
+def merge_small_batch_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row in a hundred replaced, the same keys and as many new ones
+    offered to ``keep``: only the buckets that hold the keys are read."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.lit("old").alias("said"))
+    few = orders.where("o_orderkey % 100 = 7")
+    table_ = VersionedTable(spark, scratch_path(spark, "tables"), ["o_orderkey"], n_buckets=64)
+    table_.publish(orders, mode="append")
+    table_.merge(few.withColumn("said", F.lit("new")), order=["said"])
+    table_.merge(few.unionByName(few.withColumn("o_orderkey", F.col("o_orderkey") + 100000000)).withColumn("said", F.lit("added")),
+                 order=["said"], mode="keep")
+    return table_.read()
+
+
 # -- a whole run (O11 -> O1 -> O4 -> O2 -> O27 -> O12 -> O30 -> O29 -> O31 -> O25/O32)
 @demo("ingest_run", """
 SELECT 'transactions' AS feed, CAST(o_orderkey AS VARCHAR) AS id, CAST(epoch(o_orderdate) AS BIGINT) AS dated,

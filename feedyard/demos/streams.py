@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from feedyard.sinks.table import VersionedTable
 from feedyard.sources.envelopes import land_envelopes
 from feedyard.sources.fixtures import table
 from feedyard.streaming.ingest import stream_dedupe, stream_ingest
+from feedyard.streaming.recent import stream_dedupe_recent
 
 COLS = ["app_number", "registration_date", "end_date", "transaction_type", "usage_", "contract_amount", "no_of_units"]
 
@@ -63,3 +66,37 @@ def stream_dedupe_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     if q.exception():
         raise q.exception()
     return seen.read().select("event_id", "user_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"))
+
+
+# -- O43, bounded state --------------------------------------------------------
+@demo("stream_dedupe_recent", """
+WITH days AS (SELECT min(CAST(ts AS DATE)) AS first, max(CAST(ts AS DATE)) AS last FROM events)
+SELECT 'kept' AS side, event_id, user_id, event_type, epoch_us(ts) AS ts_us FROM events
+UNION ALL SELECT 'late', event_id, user_id, event_type, epoch_us(ts) FROM events, days
+WHERE CAST(ts AS DATE) <= first + 1 AND first + 1 < last - 3""")
+def stream_dedupe_recent_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of five days that share their boundary day land one after the
+    other, each as one micro-batch; then the first two days land again, far
+    behind the watermark. One copy of every event is kept, the stragglers are
+    in the table of late rows, and the state holds the keys of two days."""
+    use_utc(spark)
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    span = events.agg(F.min(F.to_date("ts")).alias("first"), F.max(F.to_date("ts")).alias("last")).first()
+    src, day = scratch_path(spark, "stream-in"), F.to_date("ts")
+    start = span.first
+    while start <= span.last:  # a handful of windows
+        end = start + dt.timedelta(days=5)
+        events.where((day >= F.lit(start)) & (day <= F.lit(end))).coalesce(1).write.mode("append").parquet(src)
+        start = end
+    again = events.where((day <= F.lit(span.first + dt.timedelta(days=1))) & F.lit(span.first + dt.timedelta(days=1) < span.last - dt.timedelta(days=3)))
+    again.coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    seen = VersionedTable(spark, scratch_path(spark, "tables"), ["event_id"], n_buckets=16)
+    late = scratch_path(spark, "late")
+    q = stream_dedupe_recent(stream, ["event_id"], "ts", "2 days", seen, late, scratch_path(spark, "checkpoints"), groups=64)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    sides = [("kept", seen.read()), ("late", spark.read.schema(seen.read().schema).parquet(late))]
+    rows = [df.select(F.lit(side).alias("side"), "event_id", "user_id", "event_type", F.unix_micros("ts").alias("ts_us")) for side, df in sides]
+    return rows[0].unionByName(rows[1])

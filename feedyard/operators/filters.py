@@ -20,6 +20,11 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def epoch_seconds(day: Column) -> Column:
+    """The first second of a day, as the epoch seconds of the feeds' date columns."""
+    return F.unix_seconds(day.cast("timestamp"))
+
+
 # -- O7 ----------------------------------------------------------------------
 def feed_filter(df: DataFrame, params: Mapping[str, str | None], feed: str | None = None) -> DataFrame:
     """Conjunctive filter; '' or None means "no constraint".
@@ -47,8 +52,8 @@ def feed_filter(df: DataFrame, params: Mapping[str, str | None], feed: str | Non
             if date_column is None:
                 raise ValueError(f"{name} needs a feed with a date column, not {feed!r}")
             day = F.to_date(F.lit(str(value)), "MM/dd/yyyy")
-            at = F.timestamp_seconds(F.col(date_column))
-            preds.append(at >= day if name == "P_FROM_DATE" else at < F.date_add(day, 1))
+            at = F.col(date_column)  # epoch seconds, compared as they are: the scan can take the bound
+            preds.append(at >= epoch_seconds(day) if name == "P_FROM_DATE" else at < epoch_seconds(F.date_add(day, 1)))
         elif name not in CONTROL_PARAMS:
             raise ValueError(f"unknown request parameter {name}")
     if not preds:
@@ -66,13 +71,15 @@ def window_filter(df: DataFrame, date_col: Column | str, start, end, closed: boo
     """Rows dated in [start, end), or [start, end] for the last window.
 
     ``start``/``end`` are dates (text 'yyyy-MM-dd', date objects or Columns);
-    ``date_col`` is a date or timestamp column. For an epoch-seconds column
-    pass ``F.timestamp_seconds(col)``.
+    ``date_col`` is a date or timestamp column, or whole numbers: epoch
+    seconds. The column is compared as it is, so the bounds reach the scan.
     """
     d = _c(date_col)
+    seconds = df.select(d).schema[0].dataType.typeName() in ("long", "integer")
     lo = start if isinstance(start, Column) else F.lit(str(start)).cast("date")
     hi = end if isinstance(end, Column) else F.lit(str(end)).cast("date")
-    if closed:
-        # the whole last day counts
-        return df.filter((d >= lo) & (d < F.date_add(hi, 1)))
+    if closed:  # the whole last day counts
+        hi = F.date_add(hi, 1)
+    if seconds:
+        lo, hi = epoch_seconds(lo), epoch_seconds(hi)
     return df.filter((d >= lo) & (d < hi))

@@ -3,7 +3,7 @@
 The source pipeline handles one item at a time: look the key up, delete or
 refuse, then store. Here a whole batch is applied with one aggregate (to
 reduce the batch to one row per key) and one anti join (to drop the target
-rows it replaces). Arrival order decides which batch row wins, so callers
+rows it replaces, or the batch rows the target has already). Arrival order decides which batch row wins, so callers
 pass the order explicitly (page, position from the envelope) and never rely
 on ``dropDuplicates``, which keeps an arbitrary row.
 
@@ -122,10 +122,16 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequ
     if mode in ("replace", "keep"):
         reduced, nulls = _reduce_parts(batch, keys, order, "last" if mode == "replace" else "first", null_safe)
         old, old_nulls = _split_null(target, keys, null_safe)
-        both = old.withColumn("_new", F.lit(False)).unionByName(reduced.select(*columns).withColumn("_new", F.lit(True)))
-        # one exchange for both sides: a key's rows of the winning side stay
-        side = F.max("_new") if mode == "replace" else F.min("_new")
-        out = both.withColumn("_side", side.over(Window.partitionBy(*keys))).where("_new = _side").select(*columns)
+        fresh = reduced.select(*columns)
+        if mode == "replace":
+            # the batch's keys, one each, are the side that AQE broadcasts
+            # when the batch is small: the target is then not shuffled
+            named = _key_frame(_split_null(batch, keys, null_safe)[0], keys).distinct()
+            old = _anti(old, named, keys, null_safe)
+        else:
+            # of the target only its keys are read here
+            fresh = _anti(fresh, _key_frame(old, keys), keys, null_safe)
+        out = old.unionByName(fresh)
         for extra in (old_nulls, nulls):
             out = out if extra is None else out.unionByName(extra.select(*columns))
         return out

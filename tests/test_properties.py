@@ -136,3 +136,36 @@ def test_row_numbers_brute_force(spark, rows):
             want[(g, o)] = n
     got = {(r.g, r.o): r.rn for r in row_numbers(df, ["g"], ["o"], num_partitions=3).collect()}
     assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.data())
+def test_windows_of_any_length_brute_force(spark, data):
+    """Windows of days to centuries that overlap, some empty or reversed,
+    against a plain scan; what lies in none is returned apart."""
+    from feedyard.operators.windows import assign_windows, unassigned
+    day = st.dates(dt.date(1890, 1, 1), dt.date(2120, 1, 1))
+    near = st.dates(dt.date(2023, 12, 1), dt.date(2024, 4, 1))
+    spans = data.draw(st.lists(st.tuples(st.one_of(day, near), st.one_of(day, near), st.booleans()), max_size=12))
+    spans += [(dt.date(2024, 1, 15), dt.date(2024, 3, 1), False)]  # crosses a month
+    days = data.draw(st.lists(st.one_of(day, near), max_size=25)) + [dt.date(2024, 1, 20), dt.date(2024, 2, 10), None]
+    windows = spark.createDataFrame([(k % 2, *w) for k, w in enumerate(spans)] + [(0, None, dt.date(2024, 1, 1), False)],
+                                    "g int, window_start date, window_end date, is_last boolean")
+    recs = spark.createDataFrame([(k, k % 2, d) for k, d in enumerate(days)], "id int, g int, d date")
+    for by in ([], ["g"]):
+        want = sorted(
+            (k, s, e) for k, d in enumerate(days) for j, (s, e, last) in enumerate(spans)
+            if d and s <= d and (d < e or last and d == e) and (not by or j % 2 == k % 2))
+        got = sorted((r.id, r.window_start, r.window_end) for r in assign_windows(recs, "d", windows, by).collect())
+        assert got == want
+        none = {r.id for r in unassigned(recs, "d", windows, by).collect()}
+        assert none == set(range(len(days))) - {w[0] for w in want}
+
+
+def test_window_cells_are_few(spark):
+    from feedyard.operators.windows import window_cells
+    spans = [(dt.date(1, 1, 1), dt.date(9999, 1, 1), True), (dt.date(2024, 1, 1), dt.date(2024, 2, 1), False),
+             (dt.date(1969, 12, 31), dt.date(1970, 1, 1), True)]
+    cells = window_cells(spark.createDataFrame(spans, "window_start date, window_end date, is_last boolean"))
+    n = {r.window_start: r.n for r in cells.groupBy("window_start").agg(F.count("*").alias("n")).collect()}
+    assert n[spans[0][0]] < 62 * 3 + 120 and n[spans[1][0]] == 31 and n[spans[2][0]] == 2
