@@ -78,7 +78,7 @@ def stream_dedupe_recent_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of five days that share their boundary day land one after the
     other, each as one micro-batch; then the first two days land again, far
     behind the watermark. One copy of every event is kept, the stragglers are
-    in the table of late rows, and the state holds the keys of two days."""
+    in the table of late rows."""
     use_utc(spark)
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
     span = events.agg(F.min(F.to_date("ts")).alias("first"), F.max(F.to_date("ts")).alias("last")).first()

@@ -10,8 +10,8 @@ is lost silently.
 The keys are hashed to groups, and the state store holds, per group, the
 hashes and event times of its recent keys. They are compared in whole batches
 (numpy), and a group drops what the watermark has passed whenever rows reach
-it, so a group's state is the keys of one ``delay`` at its last visit. No
-timers run and no key is an entry of its own.
+it, so what a group remembers is younger than two delays (and the step of the
+watermark) at its last visit. No timers run and no key is an entry of its own.
 
 A row counts as late if its event time lies before the watermark of its
 micro-batch (the highest event time of earlier micro-batches less ``delay``).
