@@ -6,14 +6,15 @@ are read once, in blocks of bounded size; a block keeps its distinct
 pre-tokens and, per document, how often it has each of them (places in the
 block's list, never ids of tokens). Then:
 
-* the blocks' pre-tokens meet by an exchange on the pre-token; sorted, equal
-  ones stand side by side, and the library counts each distinct one once;
+* the blocks' pre-tokens meet by an exchange on a hash of the pre-token (its
+  shelf; a block sends what it has of a shelf as one row), and the library
+  counts each distinct pre-token once;
 * the counts return to their blocks and are joined to the documents'
   frequencies: a sum of count x frequency per document.
 
-What travels is one row per (block, distinct pre-token), not one per word of
-a text, and a frequent pre-token has one row per block at most. The blocks
-are written once to the shared folder, so a lost executor re-reads them.
+What travels is each block's distinct pre-tokens, not the words of its texts,
+and a frequent pre-token travels once a block. The blocks are written once to
+the shared folder, so a lost executor re-reads them.
 
 Defined results: null text is empty; an empty text has no tokens and no
 bytes; ids (null and repeated ones too) pass through row by row; other columns
@@ -24,8 +25,10 @@ of its own); an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +40,15 @@ from pyspark.sql import functions as F
 from feedyard.llm.common import landed
 
 #: Characters of text in a block: bounds a worker's memory.
-BLOCK_CHARS = 16_000_000
-#: Pre-tokens handed to the library at once.
-AT_ONCE = 20_000
+BLOCK_CHARS = 32_000_000
+#: Shelves that pre-tokens are hashed to: a task holds one shelf at a time.
+SHELVES = 4096
 
 SPACE = "▁"  # fixed value: the sign that stands for a space
 
-BLOCKS = "block long, ids array<long>, n_bytes array<long>, sizes binary, places binary, times binary, pieces array<string>"
-COUNTS = "block long, place int, n int"
+BLOCKS = ("block long, ids array<long>, n_bytes array<long>, n_pieces int, n_pairs long, sizes binary, places binary, "
+          "times binary, shelves binary, pieces array<struct<shelf:int,start:int,pieces:array<string>>>")
+COUNTS = "block long, start int, n binary"
 TOTALS = "id long, n_bytes long, n_tokens long"
 
 
@@ -109,73 +113,115 @@ def cut_rule(vocabulary: list[str]) -> re.Pattern:
     return re.compile(f"{spaces}{runs}{'|' if runs else ''}.", re.DOTALL)
 
 
-def _blocks(model, block_chars: int):
-    def row(number: int, ids, lengths, sizes, places, times, pieces) -> pa.RecordBatch:
+def _packed(numbers) -> bytes:
+    """Whole numbers below 2^32, by byte planes, which are mostly alike."""
+    x = np.asarray(numbers, np.uint32)
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 4 * n, "zstd"), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel().astype(np.int64)
+
+
+class Block:
+    """The distinct pre-tokens of some documents, and their frequencies."""
+
+    def __init__(self) -> None:
+        self.chars = 0
+        self.ids: list[int | None] = []
+        self.n_bytes: list[int] = []
+        self.place: dict[str, int] = {}
+        self.sizes, self.steps, self.times = array("I"), array("I"), array("I")
+
+    def add(self, doc: int | None, text: str, n_bytes: int, pieces: list[str]) -> None:
+        place = self.place
+        pairs = sorted([(place.setdefault(p, len(place)), n) for p, n in Counter(pieces).items()])
+        last = 0
+        for at, n in pairs:  # places in order, as steps from the one before
+            self.steps.append(at - last)
+            self.times.append(n)
+            last = at
+        self.ids.append(doc)
+        self.n_bytes.append(n_bytes)
+        self.sizes.append(len(pairs))
+        self.chars += len(text)
+
+    def row(self, number: int) -> pa.RecordBatch:
+        shelf = np.fromiter((crc32(p.encode()) % SHELVES for p in self.place), np.int64, len(self.place))
+        order = np.argsort(shelf, kind="stable")
+        names = list(self.place)
+        cuts = np.flatnonzero(np.diff(shelf[order], prepend=-1)).tolist()
+        shelves = [
+            {"shelf": int(shelf[order[a]]), "start": a, "pieces": [names[k] for k in order[a:b]]}
+            for a, b in zip(cuts, [*cuts[1:], len(names)])
+        ]
+        kind = pa.list_(pa.struct([("shelf", pa.int32()), ("start", pa.int32()), ("pieces", pa.list_(pa.string()))]))
         return pa.RecordBatch.from_arrays([
-            pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())),
-            *[pa.array([np.array(x, np.uint32).tobytes()], pa.binary()) for x in (sizes, places, times)],
-            pa.array([list(pieces)], pa.list_(pa.string())),
-        ], names=["block", "ids", "n_bytes", "sizes", "places", "times", "pieces"])
+            pa.array([number], pa.int64()), pa.array([self.ids], pa.list_(pa.int64())),
+            pa.array([self.n_bytes], pa.list_(pa.int64())), pa.array([len(names)], pa.int32()), pa.array([len(self.steps)], pa.int64()),
+            *[pa.array([_packed(x)], pa.binary()) for x in (self.sizes, self.steps, self.times, shelf)], pa.array([shelves], kind),
+        ], names=["block", "ids", "n_bytes", "n_pieces", "n_pairs", "sizes", "places", "times", "shelves", "pieces"])
+
 
+def _blocks(model, block_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = PieceCounter(model.value).split
-        task = TaskContext.get().partitionId() << 32
-        made = chars = 0
-        ids, lengths, sizes, places, times = [], [], [], [], []
-        pieces: dict[str, int] = {}
+        number = TaskContext.get().partitionId() << 32
+        block = Block()
         for batch in batches:
             n_bytes = pc.fill_null(pc.binary_length(batch.column(1).cast(pa.large_string())), 0).to_pylist()
             for doc, text, n in zip(batch.column(0).to_pylist(), batch.column(1), n_bytes):
                 text = text.as_py() or ""
-                if ids and chars + len(text) > block_chars:
-                    yield row(task + made, ids, lengths, sizes, places, times, pieces)
-                    made, chars = made + 1, 0
-                    ids, lengths, sizes, places, times = [], [], [], [], []
-                    pieces = {}
-                often = Counter(split(text))
-                ids.append(doc)
-                lengths.append(n)
-                sizes.append(len(often))
-                places.extend([pieces.setdefault(p, len(pieces)) for p in often])
-                times.extend(often.values())
-                chars += len(text)
-        if ids:
-            yield row(task + made, ids, lengths, sizes, places, times, pieces)
+                if block.ids and block.chars + len(text) > block_chars:
+                    yield block.row(number)
+                    number, block = number + 1, Block()
+                block.add(doc, text, n, split(text))
+        if block.ids:
+            yield block.row(number)
 
     return run
 
 
 def _count(model):
-    """Rows (block, place, piece) sorted by piece -> (block, place, n)."""
+    """Rows (shelf, block, start, pieces), shelf by shelf -> (block, start, n)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PieceCounter(model.value)
-        last, last_n = None, 0
+        shelf, known = None, {}
         for batch in batches:
-            for part in (batch.slice(k, AT_ONCE) for k in range(0, batch.num_rows, AT_ONCE)):
-                runs = pc.run_end_encode(part.column(2))  # equal ones side by side
-                pieces = runs.values.to_pylist()
-                known = pieces[0] == last  # the part before ended with it
-                n = [last_n] * known + counter.count(pieces[known:])
-                last, last_n = pieces[-1], n[-1]
-                ends = np.asarray(runs.run_ends)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(np.repeat(n, np.diff(ends, prepend=0)), pa.int32())],
-                    names=["block", "place", "n"])
+            counts = []
+            for at, pieces in zip(batch.column(0).to_pylist(), batch.column(3)):
+                if at != shelf:
+                    shelf, known = at, {}
+                pieces = pieces.as_py()
+                new = [p for p in pieces if p not in known]
+                known.update(zip(new, counter.count(new)))
+                counts.append(np.fromiter(map(known.__getitem__, pieces), np.uint32, len(pieces)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(counts, pa.binary())], names=["block", "start", "n"])
 
     return run
 
 
 def _sums(key, blocks: pa.Table, counts: pa.Table) -> pa.Table:
     """count x frequency, summed per document of one block."""
-    n = np.zeros(max(counts.num_rows, 1), np.int64)
-    n[counts["place"].to_numpy()] = counts["n"].to_numpy()
     block = blocks.slice(0, 1).to_pylist()[0]
-    sizes, places, times = (np.frombuffer(block[c], np.uint32).astype(np.int64) for c in ("sizes", "places", "times"))
-    running = np.concatenate(([0], np.cumsum(n[places] * times)))
+    shelved = np.zeros(block["n_pieces"], np.int64)
+    for start, n in zip(counts["start"].to_pylist(), counts["n"].to_pylist()):
+        part = np.frombuffer(n, np.uint32)
+        shelved[start:start + len(part)] = part
+    n = np.zeros(block["n_pieces"], np.int64)
+    n[np.argsort(_unpacked(block["shelves"], block["n_pieces"]), kind="stable")] = shelved
+    sizes = _unpacked(block["sizes"], len(block["ids"]))
+    steps, times = (_unpacked(block[c], block["n_pairs"]) for c in ("places", "times"))
     ends = np.cumsum(sizes)
+    starts = ends - sizes
+    # running places, less what the documents before have summed up
+    summed = np.concatenate(([0], np.cumsum(steps)))
+    places = summed[1:] - np.repeat(summed[starts], sizes)
+    running = np.concatenate(([0], np.cumsum(n[places] * times)))
     return pa.table({
         "id": pa.array(block["ids"], pa.int64()), "n_bytes": pa.array(block["n_bytes"], pa.int64()),
-        "n_tokens": pa.array(running[ends] - running[ends - sizes], pa.int64()),
+        "n_tokens": pa.array(running[ends] - running[starts], pa.int64()),
     })
 
 
@@ -189,8 +235,8 @@ def count_tokens(docs: DataFrame, id_col: str, text_col: str, model_file: str, b
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     blocks = landed(given.mapInArrow(_blocks(model, block_chars), BLOCKS), "token-blocks")
-    met = blocks.select("block", F.posexplode("pieces").alias("place", "piece"))
-    counts = met.repartition("piece").sortWithinPartitions("piece").mapInArrow(_count(model), COUNTS)
+    met = blocks.select("block", F.explode("pieces").alias("p")).select("p.shelf", "block", "p.start", "p.pieces")
+    counts = met.repartition("shelf").sortWithinPartitions("shelf").mapInArrow(_count(model), COUNTS)
     return (
         blocks.drop("pieces").groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_sums, TOTALS)
         .withColumnRenamed("id", id_col)
