@@ -112,6 +112,8 @@ def subtree_totals(tree: DataFrame, values: Sequence[str]) -> DataFrame:
     alive = tree.select("c", "d", "pc", "pd", *values, *[nothing.alias(u) for u in up],
                         *[F.lit(None).cast("long").alias(x) for x in ("uc", "ud", *off)])
     spark = tree.sparkSession
+    if tree.isEmpty():
+        return tree.select("c", "d", *values)
     rounds: list[tuple[str, DataFrame]] = []
     while True:
         kids = alive.where("pc is not null").groupBy("pc", "pd").agg(
