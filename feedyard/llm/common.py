@@ -29,6 +29,20 @@ def landed(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as no column of
+    ``df`` has (compared as Spark does, without case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        name = f"_{name}"
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, however often body uses it."""
     return F.transform(F.array(value), body)[0]

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedyard.llm.common import landed
+from feedyard.llm.common import free_names, landed, let
 
 #: What orders the occurrences of a line.
 PLACE = ("_id", "_row1", "_row2", "_pos")
@@ -102,10 +102,15 @@ def remove_boilerplate(
         .groupBy("_row1", "_row2").agg(F.sort_array(F.collect_set("_pos")).alias("_gone"))
     )
     text = F.col(text_col)
-    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, k: ~F.array_contains(F.col("_gone"), k)), "\n")
+    row1, row2, taken = free_names(docs, "row1", "row2", "gone")
+    gone = gone.toDF(row1, row2, taken)
+    # the positions that stay, then their lines: linear in the lines of a text
+    kept = let(F.split(text, "\n", -1), lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(taken)), lambda k: F.get(lines, k)), "\n"))
+    keys = dict(zip((row1, row2), _row_key(id_col, text_col).values()))
     return (
-        docs.drop("lines_removed").withColumns(_row_key(id_col, text_col)).join(gone, ["_row1", "_row2"], "left")
-        .withColumn(text_col, F.when(F.col("_gone").isNull(), text).otherwise(kept))
-        .withColumn("lines_removed", F.coalesce("_gone", F.array().cast("array<int>")))
-        .drop("_row1", "_row2", "_gone")
+        docs.drop("lines_removed").withColumns(keys).join(gone, [row1, row2], "left")
+        .withColumn(text_col, F.when(F.col(taken).isNull(), text).otherwise(kept))
+        .withColumn("lines_removed", F.coalesce(taken, F.array().cast("array<int>")))
+        .drop(row1, row2, taken)
     )

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedyard.llm.common import landed, text_groups
+from feedyard.llm.common import free_names, landed, text_groups
 from feedyard.llm.graph import components
 
 SHINGLE = 5
@@ -327,11 +327,12 @@ def drop_similar(docs: DataFrame, id_col: str, text_col: str, threshold: float =
     """``docs`` with one document of each class, and all texts without words."""
     _, keep, wordless = grouped(docs, id_col, text_col, threshold)
     text = F.col(text_col)
-    keys = {"_t1": F.xxhash64(F.lit(1), text), "_t2": F.xxhash64(F.lit(2), text)}
+    id_, t1, t2, same = free_names(docs, "id", "t1", "t2", "same")
+    keys = {t1: F.xxhash64(F.lit(1), text), t2: F.xxhash64(F.lit(2), text)}
     # 0 stands for texts without words, which all stay
     staying = keep.unionByName(wordless.withColumn("n_same", F.lit(0).cast("long")), allowMissingColumns=True)
-    named = staying.select(F.col("id").alias("_id"), F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), F.col("n_same").alias("_same"))
-    found = docs.withColumns(keys).join(named, ["_t1", "_t2"]).where(
-        (F.col("_same") == 0) | F.col(id_col).cast("long").eqNullSafe(F.col("_id")))
-    once = found.where("_same < 2").unionByName(found.where("_same > 1").dropDuplicates(["_id", "_t1", "_t2"]))
-    return once.drop("_id", "_t1", "_t2", "_same")
+    named = staying.select(F.col("id").alias(id_), F.col("t1").alias(t1), F.col("t2").alias(t2), F.col("n_same").alias(same))
+    found = docs.withColumns(keys).join(named, [t1, t2]).where(
+        (F.col(same) == 0) | F.col(id_col).cast("long").eqNullSafe(F.col(id_)))
+    once = found.where(F.col(same) < 2).unionByName(found.where(F.col(same) > 1).dropDuplicates([id_, t1, t2]))
+    return once.drop(id_, t1, t2, same)

@@ -410,7 +410,8 @@ def labelled_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     the TRAIN_DOCS documents whose ids hash lowest, those with spans first."""
     place = F.xxhash64(F.lit("pii"), F.col(id_col))
     chosen = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), place.alias("_place")).orderBy("_place", "_id").limit(TRAIN_DOCS)
-    texts = docs.join(F.broadcast(chosen.select("_id").distinct()), F.col(id_col) == F.col("_id")).select(F.col(text_col).alias("text"))
+    given = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text"))
+    texts = given.join(F.broadcast(chosen.select("_id").distinct()), F.col("_doc") == F.col("_id")).select("text")
     lines = texts.mapInArrow(_training_lines, "line string, spans array<struct<start:int,kind:int,end:int>>, hit boolean")
     mixed = F.xxhash64("line")
     return lines.orderBy(F.when(F.col("hit"), F.pmod(mixed, F.lit(2))).otherwise(F.lit(1)), mixed, "line").limit(TRAIN_LINES).select("line", "spans")
