@@ -2,20 +2,24 @@
 
 Texts are normalised to words (A-Z lower-cased; a word is a run of characters
 outside the ASCII non-alphanumerics). Every window of 10 consecutive words of
-a test item (the whole item, if shorter) is a pattern of one automaton whose
-letters are word numbers, so one scan of a text finds all windows. Hits are
-kept as word ranges and mapped back to character offsets of the original.
-
-The automaton is built from the benchmark on the driver and sent to the
-workers, behind a check of its size. A larger benchmark is cut into groups of
-items, each small enough, that are scanned one after another; the hits of
-all groups are merged per document.
+a test item (the whole item, if shorter) is a pattern of one automaton. Each
+word of the benchmark has a letter of its own and all other words share one
+more, so a text is a string with a letter per word, and one scan of it finds
+all windows. Hits are kept as word ranges and mapped back to character offsets
+of the original.
+
+The automaton is built from the benchmark's distinct texts on the driver and
+sent to the workers, behind a check of its size. A larger benchmark is cut
+into groups of items, each small enough (an item beyond the bound is a group
+by itself), that are scanned one after another; the hits of all groups are
+merged per document.
 
 Defined results: a null text has no words and no hits; items without words
 have no windows; items with null ids hit like others and are listed as
 ``null``; repeated items count once; repeated documents are judged row by row
 (with grouped benchmarks, rows equal in id and text share their hits); an
-empty benchmark hits nothing; other columns are not read.
+empty benchmark hits nothing; other columns are not read; ids must be whole
+numbers.
 """
 
 from __future__ import annotations
@@ -24,13 +28,14 @@ import hashlib
 import pickle
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedyard.llm.common import landed
+from feedyard.llm.common import free_names, landed
 
 #: Words of a window.
 WINDOW = 10
@@ -39,45 +44,56 @@ GROUP_CHARS = 20_000_000
 
 # fixed values: the normalisation
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+#: Bytes of UTF-8: A-Z lower-cased, what ends a word made a space.
+PLAIN = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c > 0x7F or chr(c).isalnum() else 0x20 for c in range(256))
+
+#: Letters of the automaton: the private characters beyond U+FFFF.
+FIRST, LETTERS = 0x10000, 0x100000
+OTHER = "\0"
 
 SPAN = "array<struct<first:int,last:int,start:int,end:int>>"
 HITS = f"id long, text string, n_words long, spans {SPAN}, items array<string>"
 
 
-def words_of(text: str | None) -> list[str]:
-    text = text or ""
-    # str.lower also lowers other letters, so only pure ASCII may take it
-    return WORD.findall(text.lower() if text.isascii() else text.translate(LOWER))
+def words_of(text: str | None) -> list[bytes]:
+    """The words in order, as UTF-8."""
+    return (text or "").encode().translate(PLAIN).split()
 
 
 class WindowScanner:
     """Finds the windows of benchmark items in texts."""
 
     def __init__(self, items: list[tuple[object, str | None]], window: int = WINDOW) -> None:
-        self.number: dict[str, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = {}
-        for item, text in items:
-            ws = tuple(self.number.setdefault(w, len(self.number) + 1) for w in words_of(text))
-            n = min(window, len(ws))
-            for i in range(len(ws) - n + 1 if n else 0):
-                owners.setdefault(ws[i:i + n], set()).add("null" if item is None else str(item))
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for window_words, names in owners.items():
-            self.automaton.add_word(window_words, (len(window_words), tuple(names)))
+        split = [(item, ws) for item, text in items if (ws := words_of(text))]
+        known = {w: k for k, w in enumerate(dict.fromkeys(w for _, ws in split for w in ws))}
+        # two letters a word, from halves that don't mix, if one can't name them all
+        self.wide = 1 if len(known) <= LETTERS else 2
+        half = LETTERS // 2
+        self.letter = {
+            w: chr(FIRST + k) if self.wide == 1 else chr(FIRST + k // half) + chr(FIRST + half + k % half) for w, k in known.items()}
+        owners: dict[str, set[str]] = {}
+        for item, ws in split:
+            letters, n = self._letters(ws), min(window, len(ws)) * self.wide
+            for i in range(0, len(letters) - n + 1, self.wide):
+                owners.setdefault(letters[i:i + n], set()).add("null" if item is None else str(item))
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_STRING)
+        for letters, names in owners.items():
+            self.automaton.add_word(letters, (len(letters) // self.wide, tuple(names)))
         self.any = bool(owners)
         if self.any:
             self.automaton.make_automaton()
 
+    def _letters(self, words: list[bytes]) -> str:
+        return "".join(map(self.letter.get, words, repeat(OTHER * self.wide)))
+
     def scan(self, text: str | None) -> tuple[int, list[tuple[int, int]], set[str]]:
         """Number of words, merged hit word ranges (end exclusive), item names."""
         ws = words_of(text)
         spans: list[tuple[int, int]] = []
         names: set[str] = set()
         if self.any and ws:
-            number = self.number.get
-            # words outside the benchmark all share number 0, which no window has
-            for last, (n, owners) in self.automaton.iter(tuple([number(w, 0) for w in ws])):
+            for end, (n, owners) in self.automaton.iter(self._letters(ws)):
+                last = end // self.wide
                 names.update(owners)
                 first = last - n + 1
                 while spans and spans[-1][0] >= first:
@@ -92,7 +108,7 @@ def char_offsets(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int
     """Character ranges of word ranges, in the original text."""
     if not spans:
         return []
-    places = [m.span() for m in WORD.finditer(text.translate(LOWER))]
+    places = [m.span() for m in WORD.finditer(text.encode().lower().decode())]  # bytes lower only A-Z
     return [(places[a][0], places[b - 1][1]) for a, b in spans]
 
 
@@ -151,7 +167,8 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: s
     character offsets (start, end exclusive) of the text. ``items``: the
     names of the items with occurring windows, sorted as strings.
     """
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text"))
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text).alias("text")).where(
+        F.col("text").rlike("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]")).distinct()
     size = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     spark = docs.sparkSession
@@ -172,7 +189,7 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: s
     each = hits.groupBy("k1", "k2").agg(
         _merged(F.flatten(F.collect_set("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
     )
-    none = spark.range(0).select(F.lit(None).cast("long").alias("item"), F.lit(None).cast("string").alias("text"))
+    none = spark.range(0).select(F.lit(None).cast("string").alias("item"), F.lit(None).cast("string").alias("text"))
     return (
         scanned(none).drop("spans", "items").withColumns({"k1": key[0], "k2": key[1]})
         .join(each, ["k1", "k2"], "left").drop("k1", "k2")
@@ -184,9 +201,10 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: s
 def drop_hit(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str) -> DataFrame:
     """``docs``, all columns, without the documents that a window occurs in."""
     hits = find_windows(docs, benchmark, id_col, text_col, item_col, item_text)
+    hit1, hit2 = free_names(docs, "hit1", "hit2")
     bad = hits.where(F.size("spans") > 0).select(
-        F.xxhash64(F.lit(1), id_col, "text").alias("_hit1"), F.xxhash64(F.lit(2), id_col, "text").alias("_hit2")).distinct()
+        F.xxhash64(F.lit(1), id_col, "text").alias(hit1), F.xxhash64(F.lit(2), id_col, "text").alias(hit2)).distinct()
     as_long = F.col(id_col).cast("long")
     keyed = docs.withColumns({
-        "_hit1": F.xxhash64(F.lit(1), as_long, F.col(text_col)), "_hit2": F.xxhash64(F.lit(2), as_long, F.col(text_col))})
-    return keyed.join(landed(bad, "hit-documents"), ["_hit1", "_hit2"], "left_anti").select(*docs.columns)
+        hit1: F.xxhash64(F.lit(1), as_long, F.col(text_col)), hit2: F.xxhash64(F.lit(2), as_long, F.col(text_col))})
+    return keyed.join(landed(bad, "hit-documents"), [hit1, hit2], "left_anti").select(*docs.columns)
