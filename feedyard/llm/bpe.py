@@ -204,6 +204,12 @@ class Encoder:
         names = sorted(vocab.special, key=len, reverse=True)
         self.marks = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
+    def forget(self) -> None:
+        """Drop what was met; the vocabulary stays."""
+        self.words, self.pieces, self.old = {}, {}, {}
+        self.vocab.good.clear()
+        self.vocab.bad.clear()
+
     def _learn_words(self, words: set[str]) -> None:
         for w, ids in self.vocab.encode_words(words.difference(self.words)):
             self.words[w] = struct.pack(f"<{len(ids)}I", *ids)
@@ -283,6 +289,12 @@ def _encoder(data: bytes) -> Encoder:
 def _run(vocab, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(vocab.value)
+        try:
+            yield from encoded(encoder, batches)
+        finally:
+            encoder.forget()  # a worker is used again, by other stages too
+
+    def encoded(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             rows: list[tuple] = []

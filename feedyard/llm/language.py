@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedyard.llm.common import PIECE_CHARS
+from feedyard.llm.common import PIECE_CHARS, free_names
 
 #: Labelled rows per language used for training.
 PER_LANGUAGE = 400
@@ -40,6 +40,8 @@ PER_LANGUAGE = 400
 DIMENSIONS = 1 << 13
 #: Gradient steps per machine.
 STEPS = 200
+#: Score from which a prediction replaces a label that it contradicts.
+SURE_FROM = 0.9
 #: Weight decay of the machines.
 DECAY = 1e-4
 
@@ -60,7 +62,7 @@ _OTHER = re.compile(r"[\W\d_]+")
 
 
 def has_letters(text: str | None) -> bool:
-    return bool(text) and not _OTHER.fullmatch(text)
+    return any(map(str.isalpha, text or ""))
 
 
 def family_of(lang: str, families: dict[str, tuple[str, ...]] = FAMILIES) -> str:
@@ -188,19 +190,22 @@ class Predictor:
         return lang, sure * inner_sure
 
 
-def _identify(pickled):
-    """Passes on the rows with letters; the last two columns are the text and
-    the label, and a label that is null is filled with the prediction."""
+def _identify(pickled, sure_from: float):
+    """Predicts every row and passes on those with letters; the last two
+    columns are the text and the label. The label becomes the prediction where
+    it is null, or contradicted with a score from ``sure_from`` on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pickle.loads(pickled.value)
         predictor = Predictor(model) if model is not None else None
         for batch in batches:
             texts, labels = batch.columns[-2].to_pylist(), batch.columns[-1].to_pylist()
             kept = [has_letters(t) for t in texts]
-            said = [
-                predictor.predict(t)[0] if predictor and keep and label is None else label
-                for t, label, keep in zip(texts, labels, kept)
-            ]
+            said = list(labels)
+            for k, (text, label, keep) in enumerate(zip(texts, labels, kept)):
+                if predictor and keep:
+                    lang, score = predictor.predict(text)
+                    if label is None or score >= sure_from:
+                        said[k] = lang
             filled = pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(said, batch.columns[-1].type)], schema=batch.schema)
             yield filled.filter(pa.array(kept, pa.bool_()))
     return run
@@ -242,17 +247,20 @@ def _learned(docs: DataFrame, id_col: str, text_col: str, lang_col: str, may_tra
     return docs.sparkSession.sparkContext.broadcast(pickle.dumps(train(sorted((r.text, r.lang) for r in sample))))
 
 
-def keep_identified(docs: DataFrame, id_col: str, text_col: str, lang_col: str, may_train: Column, per_language: int = PER_LANGUAGE) -> DataFrame:
+def keep_identified(docs: DataFrame, id_col: str, text_col: str, lang_col: str, may_train: Column, per_language: int = PER_LANGUAGE,
+                    sure_from: float = SURE_FROM) -> DataFrame:
     """``docs``, all columns, without the rows that have no letter (``und``).
 
-    A null in ``lang_col`` becomes the predicted language; it stays null if
-    nothing could be learned. Labels that are given stay as they are, so only
-    rows without one are predicted.
+    Every text is predicted. ``lang_col`` becomes the predicted language where
+    it is null, or where the prediction contradicts it with a score of
+    ``sure_from`` or more; if nothing could be learned it stays as it is.
     """
     model = _learned(docs, id_col, text_col, lang_col, may_train, per_language)
     # text and label come twice: in their places, and last for the predictor
-    wide = docs.select("*", F.col(text_col).alias("_identified"), F.col(lang_col).cast("string").alias("_said"))
-    return wide.mapInArrow(_identify(model), wide.schema).withColumn(lang_col, F.col("_said")).drop("_identified", "_said")
+    text, said = free_names(docs, "identified", "said")
+    wide = docs.select("*", F.col(text_col).alias(text), F.col(lang_col).cast("string").alias(said))
+    return wide.mapInArrow(_identify(model, sure_from), wide.schema).select(
+        *[F.col(said).alias(c) if c == lang_col else F.col(c) for c in docs.columns])
 
 
 def detect(docs: DataFrame, id_col: str, text_col: str, lang_col: str, may_train: Column, per_language: int = PER_LANGUAGE) -> DataFrame:

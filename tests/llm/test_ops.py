@@ -501,3 +501,82 @@ def test_identified_documents_are_kept_and_named(spark):
         left = language.keep_identified(bare, "doc_id", "text", "lang", may_train=allowed).collect()
         want = Counter((r.doc_id, r.text, r.lang) for r in bare.collect() if r.doc_id != 102)
         assert Counter((r.doc_id, r.text, r.lang) for r in left) == want
+
+
+# --- helper columns never meet the documents' own ---------------------------------
+CLASHING = ("_row1", "_row2", "_gone", "_t1", "_t2", "_same", "_id", "_hit1", "_hit2", "_said", "_identified", "__gone")
+
+
+def test_filters_keep_columns_of_any_name(spark):
+    long = " ".join(f"w{k}" for k in range(30))
+    given = [(1, f"{long}\nshared closing line", "en", "s1"), (2, long + "\nx y", "en", "s2"), (3, "other words here", None, "s3")]
+    df = spark.createDataFrame([(*r, *[f"{r[0]}{c}" for c in CLASHING]) for r in given],
+                               "doc_id long, text string, lang string, source string, " + ", ".join(f"{c} string" for c in CLASHING))
+    items = spark.createDataFrame([(1, "other words here")], "item_id long, text string")
+    made = {
+        "lines": line_dedup.remove_boilerplate(df, "doc_id", "text", "source").drop("lines_removed"),
+        "near": ngram_join.drop_similar(df, "doc_id", "text"),
+        "hit": decontaminate.drop_hit(df, items, "doc_id", "text", "item_id", "text"),
+        "lang": language.keep_identified(df, "doc_id", "text", "lang", F.lit(True)),
+    }
+    for name, out in made.items():
+        assert sorted(out.columns) == sorted(df.columns), name
+        for r in out.collect():
+            assert [r[c] for c in CLASHING] == [f"{r.doc_id}{c}" for c in CLASHING], name
+    assert {r.doc_id for r in made["hit"].collect()} == {1, 2}
+
+
+def test_lines_of_a_long_text(spark):
+    lines = [f"a boilerplate line number {k}" for k in range(12_000)]
+    rows = [(k, "\n".join(lines), None, f"s{k}") for k in range(9)]
+    out = {r.doc_id: r for r in line_dedup.remove_boilerplate(docs(spark, rows), "doc_id", "text", "source").collect()}
+    assert out[0].text == rows[0][1] and all(out[k].text == "" and len(out[k].lines_removed) == 12_000 for k in range(1, 9))
+
+
+def test_texts_without_letters(spark):
+    for text in ("\u00bd \u00b2", "\u2460", "\u2167", "12_3", "", None, "\U0001f600"):
+        assert not language.has_letters(text)
+    for text in ("1a", "\u4e2d", "\u00aa", "_x_"):
+        assert language.has_letters(text)
+
+
+def test_labels_follow_confident_predictions(spark):
+    rnd = random.Random(6)
+    words = {"en": "the and of with that have from".split(), "de": "der und die nicht sich auch eine".split()}
+    rows = [(k, " ".join(rnd.choices(words[lang], k=60)), lang, "s") for k in range(80) for lang in [("en", "de")[k % 2]]]
+    rows += [(900, " ".join(words["en"] * 9), "de", "s"), (901, " ".join(words["de"] * 9), None, "s"), (902, "12 !", "en", "s")]
+    out = {r.doc_id: r.lang for r in language.keep_identified(docs(spark, rows), "doc_id", "text", "lang", F.col("doc_id") < 900).collect()}
+    assert out[900] == "en" and out[901] == "de" and 902 not in out and len(out) == 82
+    # without a learned language nothing changes
+    kept = language.keep_identified(docs(spark, rows), "doc_id", "text", "lang", F.lit(False)).collect()
+    assert {r.doc_id: r.lang for r in kept} == {r[0]: r[2] for r in rows if r[0] != 902}
+
+
+def test_window_letters(spark):
+    """One letter a word, or two where one cannot name all: same hits."""
+    rnd = random.Random(8)
+    items = [(k, " ".join(rnd.choices("abcdefghij", k=rnd.randint(0, 14)))) for k in range(30)]
+    texts = [" ".join(rnd.choices("abcdefghijX", k=200)) for _ in range(30)]
+    plain = decontaminate.WindowScanner(items, 4)
+    assert plain.wide == 1
+    most, decontaminate.LETTERS = decontaminate.LETTERS, 8
+    try:
+        wide = decontaminate.WindowScanner(items, 4)
+    finally:
+        decontaminate.LETTERS = most
+    assert wide.wide == 2 and [wide.scan(t) for t in texts] == [plain.scan(t) for t in texts]
+    windows = {(n, tuple(w[i:i + n])): set() for k, t in items for w in [t.split()] for n in [min(4, len(w))] if w for i in range(len(w) - n + 1)}
+    for k, t in items:
+        w = t.split()
+        for i in range(len(w) - min(4, len(w)) + 1 if w else 0):
+            windows[min(4, len(w)), tuple(w[i:i + min(4, len(w))])].add(str(k))
+    for t in texts:
+        w = t.lower().split()
+        hit, names = set(), set()
+        for (n, win), owners in windows.items():
+            for i in range(len(w) - n + 1):
+                if tuple(w[i:i + n]) == win:
+                    hit |= set(range(i, i + n))
+                    names |= owners
+        got = plain.scan(t)
+        assert {x for a, b in got[1] for x in range(a, b)} == hit and got[2] == names and got[0] == len(w)
