@@ -2,9 +2,10 @@
 before it kept.
 
 =================  =====================================================
-language           documents without any letters go (language ``und``);
-                   a null ``lang`` is filled with the predicted language,
-                   others are left as they are
+language           every text is predicted; documents without any letters
+                   go (language ``und``); ``lang`` becomes the predicted
+                   language where it is null, or contradicted by a
+                   prediction with a score of 0.9 or more
 line_dedup         boilerplate lines go, but for their first occurrence;
                    a document whose every line went goes with them
 near_duplicates    one document of each class of near duplicates stays
