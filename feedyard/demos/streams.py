@@ -13,7 +13,7 @@ from feedyard.session import scratch_path, use_utc
 from feedyard.sinks.table import VersionedTable
 from feedyard.sources.envelopes import land_envelopes
 from feedyard.sources.fixtures import table
-from feedyard.streaming.ingest import stream_dedupe, stream_ingest
+from feedyard.streaming.ingest import stream_dedupe, stream_ingest, stream_until_empty
 from feedyard.streaming.recent import stream_dedupe_recent
 
 COLS = ["app_number", "registration_date", "end_date", "transaction_type", "usage_", "contract_amount", "no_of_units"]
@@ -48,6 +48,41 @@ def stream_ingest_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tbl.read().select(*COLS)
 
 
+@demo("stream_until_empty", """
+SELECT app_number, registration_date, contract_amount
+FROM (SELECT concat(l_orderkey, '-', l_linenumber) AS app_number,
+        CAST(epoch(l_shipdate) AS BIGINT) AS registration_date,
+        CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) AS contract_amount,
+        row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                           ORDER BY date_trunc('month', l_shipdate) DESC, l_partkey DESC, l_suppkey DESC, l_shipdate DESC) AS rn
+      FROM (SELECT *, (row_number() OVER (PARTITION BY date_trunc('month', l_shipdate)
+              ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate) - 1) // 100 AS page FROM lineitem)
+      WHERE page < 2 + month(l_shipdate) % 3)
+WHERE rn = 1""")
+def stream_until_empty_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rents pages land shuffled over files, a micro-batch each; every window
+    has an empty page among them, after its second to fourth page, and what
+    lies above it must not come in."""
+    use_utc(spark)
+    pages = envelope_pages(spark, sf_dir, "rents")
+    last = 2 + F.month("window_start") % 3
+    empty = pages.select("feed", "window_start").distinct().select(
+        "feed", "window_start", last.cast("long").alias("page_no"),
+        F.to_json(F.struct("feed", "window_start", last.alias("page_no"),
+                           F.struct(F.array().cast("array<string>").alias("result")).alias("response"))).alias("value"))
+    docs = pages.where(F.col("page_no") != last).unionByName(empty)
+    landed = scratch_path(spark, "landed")
+    land_envelopes(docs.repartition(4, F.xxhash64("value")), landed)
+    tbl = VersionedTable(spark, scratch_path(spark, "tables"), ["app_number"], n_buckets=16)
+    q = stream_until_empty(spark, f"{landed}/feed=rents", "rents", tbl, checkpoint=scratch_path(spark, "checkpoints"),
+                           rejects_dir=scratch_path(spark, "rejects"), run_id="run-1", as_of="2024-05-01T08:00:00",
+                           max_files_per_trigger=1)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return tbl.read().select("app_number", "registration_date", "contract_amount")
+
+
 # -- O43 ---------------------------------------------------------------------
 @demo("stream_dedupe", """
 SELECT DISTINCT event_id, user_id, event_type, epoch_us(ts) AS ts_us FROM events""")

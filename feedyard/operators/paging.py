@@ -90,14 +90,28 @@ def take_until_empty(pages: DataFrame, by: Sequence[str] = ("feed", "window_star
                      n_records: str = "n_records") -> DataFrame:
     """Keep the pages before the first empty one of each (feed, window).
 
-    One aggregate per group plus a join back; no running window, so a group
-    never has to be sorted in one task. Groups without an empty page keep all
-    their pages.
+    One aggregate gives the stop of each group that has one; an anti join
+    drops the pages at or after it. The stops are a row per group, so AQE
+    broadcasts them and pages stay where they are; no running window, and a
+    group never has to be sorted in one task. Groups without an empty page
+    keep all their pages.
     """
-    by = list(by)
-    stops = pages.groupBy(*by).agg(F.min(F.when(F.col(n_records) == 0, F.col(page))).alias("_stop"))
-    joined = _join_null_safe(pages, stops, by)
-    return joined.filter(F.col("_stop").isNull() | (F.col(page) < F.col("_stop"))).drop("_stop")
+    return before_stops(pages, first_empty(pages, by, page, n_records), by, page)
+
+
+def first_empty(pages: DataFrame, by: Sequence[str] = ("feed", "window_start"), page: str = "page_no",
+                n_records: str = "n_records") -> DataFrame:
+    """The groups that have an empty page, with the lowest one (``_stop``)."""
+    return pages.where(F.col(n_records) == 0).groupBy(*by).agg(F.min(page).alias("_stop"))
+
+
+def before_stops(pages: DataFrame, stops: DataFrame, by: Sequence[str] = ("feed", "window_start"), page: str = "page_no") -> DataFrame:
+    """The pages below the ``_stop`` of their group (null is a group like any other)."""
+    renamed = stops.select(*[F.col(c).alias(f"_r_{c}") for c in by], "_stop")
+    cond = pages[page] >= renamed["_stop"]
+    for c in by:
+        cond = cond & pages[c].eqNullSafe(renamed[f"_r_{c}"])
+    return pages.join(renamed, on=cond, how="left_anti")
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

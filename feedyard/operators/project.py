@@ -117,27 +117,37 @@ def _violations(df: DataFrame):
     return F.concat_ws("; ", *checks) if checks else F.lit("")
 
 
-def conform(df: DataFrame, widen: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Cast to the wide schema; (conforming rows, rejects with ``reason``).
-
-    A row is rejected when a value does not cast, a bounded text column is
-    longer than declared or a NOT NULL column is null. Both outputs come from one scan expression;
-    Spark evaluates the reason once per branch. ``widen=False`` casts and
-    checks only the columns present (plus the NOT NULL ones), so a feed's
-    rows stay narrow until they are read as the wide table.
-    """
+def tag_conforming(df: DataFrame, widen: bool = True, raw: str | None = None) -> DataFrame:
+    """Every row cast to the wide schema, with ``_reason`` ('' if it conforms);
+    one pass, nothing split off. ``raw`` names a column for the row as it came
+    in (a struct)."""
     wanted = [c for c in WIDE_COLUMNS if widen or c.name in df.columns or c.name in NOT_NULL]
     uncast = [
         F.when(F.col(c.name).isNotNull() & F.col(c.name).try_cast(c.type).isNull(), F.concat(
             F.lit(f"{c.name}: not a {c.type.simpleString()} <"), F.col(c.name).cast("string"), F.lit(">")))
         for c in wanted if c.name in df.columns and df.schema[c.name].dataType != c.type
     ]
+    came = [F.struct(*df.columns).alias(raw)] if raw else []
     typed = df.select(*[
         (F.col(c.name).try_cast(c.type) if c.name in df.columns else F.lit(None).cast(c.type)).alias(c.name)
         for c in wanted
-    ], *[c for c in df.columns if c not in WIDE_NAMES], F.concat_ws("; ", *uncast).alias("_uncast"))
-    tagged = typed.withColumn("_reason", F.concat_ws(
+    ], *[c for c in df.columns if c not in WIDE_NAMES], *came, F.concat_ws("; ", *uncast).alias("_uncast"))
+    return typed.withColumn("_reason", F.concat_ws(
         "; ", F.nullif(F.col("_uncast"), F.lit("")), F.nullif(_violations(typed), F.lit("")))).drop("_uncast")
+
+
+def conform(df: DataFrame, widen: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Cast to the wide schema; (conforming rows, rejects with ``reason``).
+
+    A row is rejected when a value does not cast, a bounded text column is
+    longer than declared or a NOT NULL column is null. Both outputs come from
+    one scan expression, which Spark evaluates once per branch; an ingest that
+    writes both writes ``tag_conforming`` once instead (``plans.run.staged_rows``).
+    ``widen=False`` casts and checks only the columns present (plus the NOT
+    NULL ones), so a feed's rows stay narrow until they are read as the wide
+    table.
+    """
+    tagged = tag_conforming(df, widen)
     ok = tagged.filter(F.col("_reason") == "").drop("_reason")
     rejects = tagged.filter(F.col("_reason") != "").withColumnRenamed("_reason", "reason")
     return ok, rejects

@@ -21,7 +21,11 @@ from feedyard.schema import PAGE_SIZE, Feed, feed as get_feed
 CORRUPT = "_corrupt_record"
 
 
-def envelope_schema(feed: Feed) -> T.StructType:
+#: A record type without any field that a record has: its values are skipped, not built.
+SKIPPED = T.StructType([T.StructField("_skipped", T.StringType())])
+
+
+def envelope_schema(feed: Feed, record: T.StructType | None = None) -> T.StructType:
     """Explicit schema: no inference pass over the landed data."""
     return T.StructType([
         T.StructField("feed", T.StringType()),
@@ -29,7 +33,7 @@ def envelope_schema(feed: Feed) -> T.StructType:
         T.StructField("window_start", T.StringType()),
         T.StructField("page_no", T.LongType()),
         T.StructField("response", T.StructType([
-            T.StructField("result", T.ArrayType(feed.record_schema())),
+            T.StructField("result", T.ArrayType(record or feed.record_schema())),
         ])),
         T.StructField(CORRUPT, T.StringType()),
     ])
@@ -49,11 +53,25 @@ def parse_envelopes(text: DataFrame, feed: str | Feed, value: str = "value") ->
     from ``run`` / ``window_start`` / ``page_no`` columns of the input, e.g.
     partition folders ``window_start=.../page_no=.../`` of the landing layout.
     """
+    pages = _decoded(text, feed, value, None, ())
+    return pages.drop("_raw")
+
+
+def index_envelopes(text: DataFrame, feed: str | Feed, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """The page index: feed, run, window_start, page_no, n_records and
+    ``bad_reason`` of every document, its text (``value``) and the ``keep``
+    columns. Reads through a document without building any of its records,
+    so what pages to take can be decided before they are decoded."""
+    pages = _decoded(text, feed, value, SKIPPED, keep)
+    return pages.select("feed", "run", "window_start", "page_no", "n_records", "bad_reason", F.col("_raw").alias("value"), *keep)
+
+
+def _decoded(text: DataFrame, feed: str | Feed, value: str, record: T.StructType | None, keep: Sequence[str]) -> DataFrame:
     f = get_feed(feed) if isinstance(feed, str) else feed
-    doc = F.from_json(F.col(value), envelope_schema(f),
+    doc = F.from_json(F.col(value), envelope_schema(f, record),
                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     side = [c for c in ("run", "window_start", "page_no") if c in text.columns]
-    parsed = text.select(F.col(value).alias("_raw"), doc.alias("d"), *[F.col(c).alias(f"_path_{c}") for c in side])
+    parsed = text.select(F.col(value).alias("_raw"), doc.alias("d"), *[F.col(c).alias(f"_path_{c}") for c in side], *keep)
     window, page, run = F.col("d.window_start"), F.col("d.page_no"), F.col("d.run")
     page_text = F.lit(None).cast("string")
     if "run" in side:
@@ -76,16 +94,20 @@ def parse_envelopes(text: DataFrame, feed: str | Feed, value: str = "value") ->
         F.col("d.response.result").alias("records"),
         F.size(F.col("d.response.result")).alias("n_records"),
         F.when(reason.isNotNull(), F.col("_raw")).alias(CORRUPT),
-        reason.alias("bad_reason"),
+        reason.alias("bad_reason"), "_raw", *keep,
     )
 
 
 def read_envelopes(spark: SparkSession, path: str | Sequence[str], feed: str | Feed,
                    whole_file: bool = False) -> DataFrame:
     """Scan landed page documents (one per line, or one per file)."""
+    return parse_envelopes(read_documents(spark, path, whole_file), feed)
+
+
+def read_documents(spark: SparkSession, path: str | Sequence[str], whole_file: bool = False) -> DataFrame:
+    """Landed page documents as text (one per line, or one per file)."""
     reader = spark.read.option("wholetext", "true") if whole_file else spark.read
-    paths = [path] if isinstance(path, str) else list(path)
-    return parse_envelopes(reader.text(paths), feed)
+    return reader.text([path] if isinstance(path, str) else list(path))
 
 
 def bad_envelopes(pages: DataFrame) -> DataFrame:
