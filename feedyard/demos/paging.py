@@ -180,6 +180,18 @@ def page_slice_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_slice(t, ["app_number"], skip=200, take=100).select("app_number", "transaction_date", "amount_")
 
 
+@demo("page_slice_deep", """
+SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+ORDER BY l_extendedprice, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate
+LIMIT 250 OFFSET (SELECT count(*) * 9 // 10 FROM lineitem)""")
+def page_slice_deep_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page behind nine tenths of the table: no task holds what is skipped."""
+    li = table(spark, sf_dir, "lineitem").select("l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    order = ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+    page = page_slice(li, order, skip=li.count() * 9 // 10, take=250, top_rows=1000)
+    return page.select("l_orderkey", "l_linenumber", "l_partkey")
+
+
 # -- O10 ---------------------------------------------------------------------
 @demo("assign_pages", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,

@@ -7,6 +7,7 @@ decision the crawler makes page by page is taken for a whole table at once.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,31 +24,56 @@ def _cols(names: Sequence[str] | str | None) -> list[str]:
 
 
 # -- O10 ---------------------------------------------------------------------
+#: Rows of a range, which one task sorts.
+ROWS_PER_RANGE = 1_000_000
+
+
 def row_numbers(df: DataFrame, by: Sequence[str] | str | None, order: Sequence[str | Column],
                 out: str = "rn", num_partitions: int | None = None) -> DataFrame:
     """1-based row number per ``by`` group in ``order``.
 
-    Rows are range-partitioned on (by, order), so every task holds a
-    contiguous slice of the global order, however large a group is; each
-    task's rows are numbered locally, and a small table of (group, partition)
-    counts turns local numbers into group numbers. That table has at most
-    ``num_partitions + #groups`` rows.
+    The rows are counted first: every ``ROWS_PER_RANGE`` of them are a range
+    that one task sorts. Up to that many rows are one range, where a plain
+    row number per group is all there is to do. Beyond it, rows are
+    range-partitioned on (by, order), so every task holds a contiguous slice
+    of the global order, however large a group is; each task's rows are
+    numbered locally, and a small table of (group, partition) counts turns
+    local numbers into group numbers. That table has at most
+    ``num_partitions + #groups`` rows. ``num_partitions`` asks for so many
+    ranges whatever the count.
 
     ``order`` should be total (break ties with key columns); with ties the
     numbering is still a dense 1..n per group, the order among tied rows is
     arbitrary.
 
-    The locally numbered rows are read twice (counts, then numbers), and a
+    Locally numbered rows are read twice (counts, then numbers), and a
     range exchange planned twice samples different bounds, so they are
     written once as a Parquet table in the shared work folder
     (``spark.checkpoint.dir``) and read back: this cuts the lineage, keeps
     partition and position as plain columns, and survives executor loss.
     """
-    from feedyard.session import scratch_path
-
     by = _cols(by)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    sort_cols = [F.col(c) for c in by] + order_cols
+    if num_partitions is None:
+        ranges = -(-df.count() // ROWS_PER_RANGE)
+        if ranges <= 1:
+            same = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+            return df.withColumn(out, F.row_number().over(same.orderBy(*order_cols)).cast("long"))
+        num_partitions = max(ranges, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    local = _in_ranges(df, [F.col(c) for c in by] + order_cols, num_partitions)
+    counts = local.groupBy(*by, "_pid").agg(F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    numbered = _join_null_safe(local, offsets, [*by, "_pid"])
+    return numbered.withColumn(out, F.col("_offset") + F.col("_idx") - F.col("_first") + F.lit(1)).drop(
+        "_pid", "_idx", "_first", "_offset")
+
+
+def _in_ranges(df: DataFrame, sort_cols: Sequence[Column], num_partitions: int | None) -> DataFrame:
+    """``df`` in global order, cut into ranges: ``_pid`` numbers a row's range
+    and ``_idx`` (from 0) the row in it. Written once, a file per range."""
+    from feedyard.session import scratch_path
+
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "row-numbers")
@@ -56,13 +82,7 @@ def row_numbers(df: DataFrame, by: Sequence[str] | str | None, order: Sequence[s
        .withColumn("_pid", F.spark_partition_id())
        .withColumn("_idx", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)))
        .write.parquet(path))
-    local = spark.read.parquet(path)
-    counts = local.groupBy(*by, "_pid").agg(F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    numbered = _join_null_safe(local, offsets, [*by, "_pid"])
-    return numbered.withColumn(out, F.col("_offset") + F.col("_idx") - F.col("_first") + F.lit(1)).drop(
-        "_pid", "_idx", "_first", "_offset")
+    return spark.read.parquet(path)
 
 
 def assign_pages(df: DataFrame, by: Sequence[str] | str | None, order: Sequence[str | Column],
@@ -75,14 +95,37 @@ def assign_pages(df: DataFrame, by: Sequence[str] | str | None, order: Sequence[
 
 
 # -- O9 ----------------------------------------------------------------------
-def page_slice(df: DataFrame, order: Sequence[str | Column], skip: int, take: int = PAGE_SIZE) -> DataFrame:
+#: Rows up to which a page is found as a top-(skip+take): what one task may hold.
+TOP_ROWS = 100_000
+
+
+def page_slice(df: DataFrame, order: Sequence[str | Column], skip: int, take: int = PAGE_SIZE,
+               num_partitions: int | None = None, top_rows: int = TOP_ROWS) -> DataFrame:
     """One sorted page: ``ORDER BY order OFFSET skip LIMIT take``.
 
-    Planned as a top-(skip+take) sort, so deep pages cost O(skip); to page
-    through a whole table use ``assign_pages`` instead.
+    Near the front (``skip + take`` up to ``top_rows``) this is a top-k: every
+    task keeps that many rows and one task merges them. A deeper page is an
+    order statistic: the rows are cut into ranges of the global order, the
+    ranges are counted, and only those that hold the page are read again, so
+    no task holds the rows that are skipped. To page through a whole table
+    use ``assign_pages`` instead. Columns named ``_pid`` and ``_idx`` are
+    refused there.
     """
+    skip, take = int(skip), int(take)
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    return df.orderBy(*cols).offset(int(skip)).limit(int(take))
+    if skip + take <= top_rows:
+        return df.orderBy(*cols).offset(skip).limit(take)
+    if {"_pid", "_idx"} & {c.lower() for c in df.columns}:
+        raise ValueError("columns _pid and _idx are used here")
+    local = _in_ranges(df, cols, num_partitions)
+    before, spans = 0, []  # a count per range arrives: as many as partitions
+    for pid, n in sorted((r[0], r[1]) for r in local.groupBy("_pid").count().collect()):
+        first, last = max(skip - before, 0), min(skip + take - before, n)
+        if first < last:
+            spans.append((F.col("_pid") == pid) & (F.col("_idx") >= first) & (F.col("_idx") < last))
+        before += n
+    page = local.where(reduce(lambda a, b: a | b, spans)) if spans else local.limit(0)
+    return page.orderBy("_pid", "_idx").drop("_pid", "_idx")
 
 
 # -- O4 ----------------------------------------------------------------------

@@ -224,3 +224,18 @@ def test_own_statement_in_the_sink(spark):
     tbl.run_statement("SELECT * FROM {target} WHERE usage_ = :u UNION ALL SELECT * FROM {batch}", b, {"u": "F"}, batch_id="s")
     assert _rows(tbl.read(), sinks.COLS) == _rows(t.where("usage_ = 'F'").unionByName(b), sinks.COLS)
     assert tbl.has_batch("s")
+
+
+def test_deep_pages_equal_sorted_pages(spark):
+    """A page found by counted ranges is the page of the whole sorted table,
+    at any depth and page size, and no sort holds the skipped rows."""
+    li = table(spark, SF_SMALL, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    order = ["l_partkey", "l_orderkey", "l_linenumber"]
+    rows = sorted(tuple(r) for r in li.select(*order).collect())
+    for skip, take in ((0, 10), (17, 100), (len(rows) // 2, 900), (len(rows) - 5, 100), (len(rows) + 1, 10), (5, 0)):
+        page = page_slice(li, order, skip=skip, take=take, num_partitions=7, top_rows=0)
+        assert [tuple(r) for r in page.select(*order).collect()] == rows[skip:skip + take]
+        assert "TakeOrderedAndProject" not in page._jdf.queryExecution().executedPlan().toString()
+    assert page_slice(li.limit(0), order, skip=3, take=2, top_rows=0).count() == 0
+    with pytest.raises(ValueError):
+        page_slice(li.withColumnRenamed("l_partkey", "_pid"), ["_pid"], skip=3, take=2, top_rows=0)
