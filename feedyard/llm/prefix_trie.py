@@ -52,7 +52,12 @@ def numbered_turns(turns: DataFrame, conv: str, turn: str, role: str, text: str)
         F.col(conv).cast("long").alias("c"), F.col(turn).alias("t"), said[0].alias("role"),
         F.xxhash64(F.lit(1), *said).alias("h1"), F.xxhash64(F.lit(2), *said).alias("h2"),
         F.regexp_count(said[1], F.lit(WORD)).cast("long").alias("words"))
-    return row_numbers(rows, "c", [F.asc_nulls_first("t"), "role", "h1", "h2"], out="i").select("c", "i", "h1", "h2", "words")
+    return row_numbers(rows, "c", [F.asc_nulls_first("t"), "role", "h1", "h2"], "i", _ranges(turns)).select("c", "i", "h1", "h2", "words")
+
+
+def _ranges(df: DataFrame) -> int:
+    """Numbering goes by ranges at any size: one conversation may be long."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def rebuilt_turns(numbered: DataFrame, head: Column, donor: Column, most_head: int) -> DataFrame:
@@ -62,7 +67,7 @@ def rebuilt_turns(numbered: DataFrame, head: Column, donor: Column, most_head: i
     convs = numbered.select("c").distinct().select("c", head.alias("head"), donor.alias("donor")).where("head > 0")
     heads = numbered.where(F.col("i") <= most_head).withColumnRenamed("c", "donor")
     taken = convs.join(heads, "donor").where("i <= head").withColumn("part", F.lit(0)).select(*own.columns)
-    return row_numbers(own.unionByName(taken), "c", ["part", "i"], out="depth").select("c", "depth", "h1", "h2", "words")
+    return row_numbers(own.unionByName(taken), "c", ["part", "i"], "depth", _ranges(numbered)).select("c", "depth", "h1", "h2", "words")
 
 
 def prefix_keys(turns: DataFrame) -> DataFrame:
