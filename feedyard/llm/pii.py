@@ -5,11 +5,14 @@ text. A conditional random field over white-space separated words adds spans
 of the same kinds: each word has one label (none or a kind), scored by its
 word shape (counts of digits, letters, dots, signs; first and last character)
 and the shapes of its neighbours, plus label transitions. It is trained on a
-small labelled table of lines, by gradient steps on the exact likelihood
+small labelled table of lines (``pii_lines.txt``, labelled by hand, for what
+the patterns miss and its look-alikes; crops of the documents with the
+patterns' own matches for the rest), by gradient steps on the exact likelihood
 (forward-backward), and decoded by Viterbi, both in numpy over batches of
 lines. Decoded words become spans, less the punctuation around them; a span
-that touches a base span or a match that a pattern's own check refused (card
-digits that fail Luhn, say), or has neither digit nor ``@``, is not added.
+that touches a base span or (secrets aside) a match that a pattern's own check
+refused (card digits that fail Luhn, say), or has neither digit nor ``@``, is
+not added.
 
 Lines are the CRF's sequences; a line of more than ``LINE_WORDS`` words is
 decoded in consecutive parts. Base patterns see the whole text at once and
@@ -27,6 +30,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +40,11 @@ from pyspark.sql import functions as F
 from feedyard.llm.common import PIECE_CHARS, text_groups
 
 KINDS = ("email", "ip", "card", "phone")
+#: What the field also finds: keys and passwords, which have no fixed form.
+ALL_KINDS = (*KINDS, "secret")
+#: Lines labelled by hand, and how often each counts in training.
+LABELLED_LINES = Path(__file__).with_name("pii_lines.txt")
+HAND_WEIGHT = 12
 
 #: Documents that training lines are drawn from, lines kept, words of a line.
 TRAIN_DOCS = 4_000
@@ -110,7 +119,7 @@ OWN = [("digits",), ("letters",), ("at",), ("dots",), ("signs",), ("other",), ("
 NEAR = [("digits",), ("at",), ("signs",), ("first",)]
 N_SHAPES = int(np.prod(list(PARTS.values())))
 EDGE = N_SHAPES  # the shape beyond either end of a line
-N_LABELS = len(KINDS) + 1
+N_LABELS = len(ALL_KINDS) + 1
 
 
 def _char_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -378,6 +387,30 @@ def train(rows: list[tuple[str, list[Span]]]) -> Model | None:
     return Model(*parts(w))
 
 
+def _unjudged(line: str, found: list[tuple[int, int]]) -> bool:
+    """Holds a word full of digits that no pattern took: that it is nothing
+    cannot be said, so the line teaches nothing."""
+    return any(
+        sum("0" <= c <= "9" for c in m.group()) >= 8 and not any(s < m.end() and e > m.start() for s, e in found)
+        for m in re.finditer(r"\S+", line))
+
+
+def hand_labelled(path: Path = LABELLED_LINES) -> list[tuple[str, list[Span]]]:
+    """The lines labelled by hand, with their spans."""
+    rows = []
+    for line in path.read_text(encoding="utf-8").splitlines():
+        if line.startswith("#"):
+            continue
+        text, spans = "", []
+        for plain, kind, marked in re.findall(r"(.*?)(?:\{\{(\w+):(.*?)\}\}|$)", line):
+            text += plain
+            if kind:
+                spans.append((len(text), ALL_KINDS.index(kind), len(text) + len(marked)))
+                text += marked
+        rows.append((text, spans))
+    return rows
+
+
 def _training_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Crops of lines around base spans, and as many crops without any."""
     word = re.compile(r"\S+")
@@ -395,6 +428,8 @@ def _training_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 a = left[0] if left else middle
                 right = [m.end() for m in word.finditer(line, middle, middle + 400)][:TRAIN_WORDS]
                 b = max([right[-1] if right else middle, *(e for s, _, e in found[:1])])
+                if _unjudged(line[a:b], [(s - a, e - a) for s, _, e in found]):
+                    continue
                 lines.append(line[a:b])
                 spans.append([{"start": s - a, "kind": k, "end": e - a} for s, k, e in found if s >= a and e <= b])
                 hard.append(bool(found))
@@ -456,7 +491,7 @@ def _find(pickled):
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
         def named(spans):
-            return [{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans]
+            return [{"kind": ALL_KINDS[k], "start": s, "end": e} for s, k, e in spans]
 
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
@@ -473,7 +508,10 @@ def _find(pickled):
                     for s, k, e in decode(scores, "\n".join(texts[first:end])):
                         at = int(np.searchsorted(begins, s, "right")) - 1
                         more[first + at].append((s - int(begins[at]), k, e - int(begins[at])))
-            every = [sorted(b + added_spans(b + r, m)) for b, r, m in zip(base, refused, more)]
+            # digits that a pattern refused may still be part of a secret
+            every = [
+                sorted(b + added_spans(b + r, [x for x in m if x[1] < len(KINDS)]) + added_spans(b, [x for x in m if x[1] >= len(KINDS)]))
+                for b, r, m in zip(base, refused, more)]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).cast(pa.int64()),
                 pa.array([named(b) for b in base], kind), pa.array([named(s) for s in every], kind),
@@ -485,10 +523,13 @@ def find_personal_data(docs: DataFrame, id_col: str, text_col: str, labelled: Da
     """id_col, base, spans (base and added) of every whole text.
 
     ``labelled``: line, spans (start, kind number, end) to train from; by
-    default ``labelled_lines`` of the documents themselves.
+    default the lines labelled by hand and ``labelled_lines`` of the documents
+    themselves.
     """
     table = labelled if labelled is not None else labelled_lines(docs, id_col, text_col)
     rows = sorted((r.line, [(s.start, s.kind, s.end) for s in r.spans]) for r in table.limit(TRAIN_LINES).collect())
+    if labelled is None:
+        rows += hand_labelled() * HAND_WEIGHT
     model = docs.sparkSession.sparkContext.broadcast(pickle.dumps(train(rows)))
     out = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(_find(model), OUT)
     return out.withColumnRenamed("id", id_col)
