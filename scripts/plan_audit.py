@@ -65,7 +65,7 @@ SHOWCASE = {
     "window_filter": "filters and column pruning reach the Parquet scan (PushedFilters, ReadSchema)",
     "upsert_replace": "batch reduction with a partial aggregate before its shuffle; anti join on keys, "
                       "null-key rows unioned around it",
-    "assign_windows": "interval join as a hash join on the month with the range test as a residual",
+    "assign_windows": "interval join as a hash join on the cells that windows are cut into",
     "resolve_attempts": "per-page aggregate, per-window stop, join back; no running window",
 }
 
@@ -79,7 +79,7 @@ def range_path_plan(spark, sf: str) -> str:
     from feedyard.sources.fixtures import table
     li = table(spark, sf, "lineitem").withColumn("window_start", F.trunc("l_shipdate", "MM"))
     numbered = row_numbers(li, ["window_start"], ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                                  "l_shipdate"])
+                                                  "l_shipdate"], num_partitions=8)
     return executed_plan(numbered)
 
 
