@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 
 #: Words (and pieces, in each of two generations) that a worker keeps.
 CACHE_WORDS = 300_000
+#: Documents encoded at once.
+SLICE_ROWS = 1_000
 #: Words of a text that are joined at once: bounds the memory of long texts.
 SLICE_WORDS = 200_000
 
@@ -205,10 +207,8 @@ class Encoder:
         self.marks = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
     def forget(self) -> None:
-        """Drop what was met; the vocabulary stays."""
-        self.words, self.pieces, self.old = {}, {}, {}
-        self.vocab.good.clear()
-        self.vocab.bad.clear()
+        """Keep the pieces met last; drop what was met before, and the words."""
+        self.words, self.old = {}, {}
 
     def _learn_words(self, words: set[str]) -> None:
         for w, ids in self.vocab.encode_words(words.difference(self.words)):
@@ -295,7 +295,7 @@ def _run(vocab, digest: bool):
             encoder.forget()  # a worker is used again, by other stages too
 
     def encoded(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, SLICE_ROWS) for b in batches for k in range(0, b.num_rows, SLICE_ROWS)):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             rows: list[tuple] = []
             encoder.meet(texts)
