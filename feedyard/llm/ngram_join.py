@@ -4,16 +4,19 @@ Documents are sets of hashed five-word shingles. Equal sets are one class of
 copies and joined once, by their representative. Each class gets MinHash
 values in bands; rows per band and the number of bands follow from the
 similarity threshold and the target recall (``choose_bands``). Classes that
-meet in a band bucket are tied to the bucket's first class, and the connected
-groups of these ties hold every candidate pair.
-
-Groups are then verified on the full shingle sets, rebuilt from the texts of
-their representatives only. A group is cut into blocks of a bounded number of
-classes, and each pair of blocks is one cell, so a group of any size is
+share a band bucket are candidates.
+
+Candidates are then verified on the full shingle sets, rebuilt from the texts
+of their representatives only, bucket by bucket: buckets with the same members
+are verified once, and a pair that shares several buckets counts in that of
+its first shared band. Where a connected group of buckets costs more that way
+than all its pairs do (copies that share nearly every bucket), the group is
+verified as if it were one bucket; a chain, however long, is not. What is
+verified together is cut into blocks of a bounded number of classes and
+shingles, and each pair of blocks is one cell, so a bucket of any size is
 spread over tasks; a cell counts shared shingles by matrix products and
 returns one row per class (links found, a tie to its linked neighbours),
-never the pairs. So no link between candidates is lost, and nothing grows
-with the square of a group except the verification itself.
+never the pairs. So no link between candidates is lost.
 
 Result: one row per document with its class id (the smallest document id of
 all documents connected by links) and its number of links (other documents
@@ -45,8 +48,11 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 #: MinHash values per document, at most.
 MOST_HASHES = 300
-#: Classes in a block of a group: a cell holds two blocks at most.
-BLOCK = 1024
+#: Classes and shingles in a block, about: a cell holds two blocks at most.
+BLOCK = 512
+BLOCK_GRAMS = 1 << 20
+#: Comparisons that cost as much as bringing one more set to a cell.
+SHIP = 64
 #: Columns of the incidence matrix handled at once.
 COLUMNS = 4096
 
@@ -170,7 +176,7 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(first, end - first)
             yield pa.RecordBatch.from_arrays(
                 [*part.columns[1:], pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["node", "copies", "cell", "i", "j", "block", "grams"],
+                names=["node", "copies", "band", "cell", "i", "j", "block", "bands", "grams"],
             )
 
 
@@ -207,12 +213,15 @@ def _verify(threshold: float):
             at.setdefault(r[0], r)
         nodes = sorted(at)
         copies = np.array([at[v][1] for v in nodes], np.int64)
-        block = np.array([at[v][5] for v in nodes])
-        link = linked([np.frombuffer(at[v][6], np.uint64) for v in nodes], threshold)
+        block = np.array([at[v][6] for v in nodes])
+        link = linked([np.frombuffer(at[v][8], np.uint64) for v in nodes], threshold)
         np.fill_diagonal(link, False)
-        i, j = rows[0][3], rows[0][4]
+        band, i, j = rows[0][2], rows[0][4], rows[0][5]
         if i != j:  # pairs inside a block belong to its own cell
             link &= block[:, None] != block[None, :]
+        if band > 0:  # pairs that share an earlier band belong to that one's bucket
+            for earlier in np.array([at[v][7][:band] for v in nodes], np.int64).T:
+                link &= earlier[:, None] != earlier[None, :]
         links = link @ copies
         # smallest node reachable over links inside the cell
         low = np.arange(len(nodes))
@@ -243,7 +252,7 @@ def _verify(threshold: float):
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and row[2:5] != held[0][2:5]:
+                if held and row[2:6] != held[0][2:6]:
                     close()
                     if len(made[0]) > 10_000:
                         yield out()
@@ -255,6 +264,38 @@ def _verify(threshold: float):
     return run
 
 
+def candidate_cells(classes: DataFrame, buckets: DataFrame, groups: DataFrame) -> DataFrame:
+    """node, band, cell, i, j, block: where each class is verified.
+
+    ``cell`` is a bucket's hash with its ``band``, or with band -1 the label
+    of a group that is verified as one.
+    """
+    # buckets of the same members: that of the first band stands for all
+    distinct = buckets.groupBy("head", "sets", "grams", "x1", "x2").agg(F.min(F.struct("band", "hash")).alias("b")).select(
+        F.col("head").alias("node"), "sets", "grams", "b.band", "b.hash")
+    cost = F.sum(F.col("grams") * (F.col("sets") + F.lit(float(SHIP))))
+    by_bucket = distinct.join(groups, "node").groupBy("label").agg(cost.alias("by_bucket"))
+    by_group = groups.join(classes.select("node", "n"), "node").groupBy("label").agg(
+        F.count("*").alias("sets"), F.sum("n").alias("grams"))
+    chosen = landed(
+        by_group.join(by_bucket, "label").withColumn(
+            "whole", F.col("grams") * (F.col("sets") + F.lit(float(SHIP))) <= F.col("by_bucket")),
+        "group-costs",
+    )
+    whole = groups.join(chosen.where("whole"), "label").select(
+        "node", F.lit(-1).alias("band"), F.col("label").alias("cell"), "sets", "grams")
+    loose = groups.join(chosen.where("not whole").select("label"), "label").select("node")
+    apart = (
+        classes.join(loose, "node").select("node", F.posexplode("bands").alias("band", "hash"))
+        .join(distinct.drop("node"), ["band", "hash"]).select("node", "band", F.col("hash").alias("cell"), "sets", "grams")
+    )
+    g = F.ceil(F.greatest(F.col("sets") / BLOCK, F.col("grams") / BLOCK_GRAMS)).cast("int")
+    return whole.unionByName(apart).withColumn("g", g).select(
+        "node", "band", "cell", F.pmod(F.xxhash64("node"), F.col("g")).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("o"),
+    ).select("node", "band", "cell", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block")
+
+
 def similar_groups(
     docs: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, recall: float = RECALL,
 ) -> tuple[DataFrame, DataFrame]:
@@ -278,33 +319,42 @@ def grouped(
     worded, empty = signed.where("n > 0"), signed.where("n = 0")
     # copies first, then sets: hot copies are reduced before each shuffle
     classes = landed(
-        worded.groupBy("k1", "k2", "id", "t1", "t2").agg(F.count("*").alias("n_same"), F.first("bands").alias("bands"))
+        worded.groupBy("k1", "k2", "id", "t1", "t2").agg(
+            F.count("*").alias("n_same"), F.first("bands").alias("bands"), F.first("n").alias("n"))
         .groupBy("k1", "k2").agg(
-            F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "t1", "t2", "n_same")).alias("rep"), F.sum("n_same").alias("copies"), F.first("bands").alias("bands"))
+            F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "t1", "t2", "n_same")).alias("rep"),
+            F.sum("n_same").alias("copies"), F.first("bands").alias("bands"), F.first("n").alias("n"))
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    met = classes.select("node", F.posexplode("bands").alias("band", "hash"))
-    heads = met.groupBy("band", "hash").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
+    met = classes.select("node", "n", F.posexplode("bands").alias("band", "hash"))
+    buckets = landed(
+        met.groupBy("band", "hash").agg(
+            F.min("node").alias("head"), F.count("*").alias("sets"), F.sum("n").alias("grams"),
+            F.bit_xor(F.xxhash64("node")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("x2"),
+        ).where("sets > 1"),
+        "band-buckets",
+    )
     ties = landed(
-        met.join(heads, ["band", "hash"]).where(F.col("node") != F.col("head"))
+        met.join(buckets.select("band", "hash", "head"), ["band", "hash"]).where(F.col("node") != F.col("head"))
         .select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(),
         "band-ties",
     )
     groups = landed(components(ties), "band-groups")
-    sized = groups.join(groups.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("g")), "label")
-    other = F.explode(F.sequence(F.lit(0), F.col("g") - 1))
-    placed = sized.withColumn("block", F.pmod(F.xxhash64("node"), F.col("g")).cast("int")).withColumn("o", other).select(
-        "node", F.col("label").alias("cell"), F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block")
-    wanted = placed.join(classes.select("node", "copies", "rep.id", "rep.t1", "rep.t2"), "node")
-    wanted = wanted.groupBy("id", "t1", "t2", "node", "copies").agg(F.collect_list(F.struct("cell", "i", "j", "block")).alias("places"))
+    placed = candidate_cells(classes, buckets, groups)
+    wanted = placed.join(classes.select("node", "copies", "rep.id", "rep.t1", "rep.t2", "bands"), "node")
+    wanted = wanted.groupBy("id", "t1", "t2", "node", "copies").agg(
+        F.collect_list(F.struct("band", "cell", "i", "j", "block")).alias("places"),
+        F.any_value(F.when(F.col("band") > 0, F.col("bands")), True).alias("bands"),
+    )
     texts = keyed.join(wanted.withColumnRenamed("id", "rep_id"), ["t1", "t2"]).where(F.col("id").eqNullSafe(F.col("rep_id")))
     cells = (
-        texts.select("text", "node", "copies", F.explode("places").alias("p")).select("text", "node", "copies", "p.*")
-        .mapInArrow(_grams, "node long, copies long, cell long, i int, j int, block int, grams binary")
+        texts.select("text", "node", "copies", "bands", F.explode("places").alias("p"))
+        .select("text", "node", "copies", "p.*", F.when(F.col("p.band") > 0, F.col("bands")).alias("bands"))
+        .mapInArrow(_grams, "node long, copies long, band int, cell long, i int, j int, block int, bands array<long>, grams binary")
     )
     verified = landed(
-        cells.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+        cells.repartition("band", "cell", "i", "j").sortWithinPartitions("band", "cell", "i", "j")
         .mapInArrow(_verify(threshold), "node long, links long, low long"),
         "links",
     )

@@ -426,6 +426,46 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, block):
     assert ngram_join.similar_groups(docs(spark, rows).limit(0), "doc_id", "text")[0].count() == 0
 
 
+@pytest.mark.parametrize("block", [512, 5])
+def test_chain_of_near_copies(spark, monkeypatch, block):
+    """A long chain is verified by its buckets, not by all its pairs; links and classes are those of brute force."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "SHIP", 0)
+    rnd = random.Random(12)
+    words = [f"w{rnd.randint(0, 9000)}" for _ in range(1300)]
+    rows = [(k, " ".join(words[4 * k:4 * k + 100])) for k in range(300)] + [(500, " ".join(words[:100]) + ".")]
+    base = [f"x{rnd.randint(0, 9000)}" for _ in range(90)]
+    rows += [(600 + k, " ".join(base[:-1] + [f"y{k}"])) for k in range(20)]
+    seen = []
+    cells = ngram_join.candidate_cells
+    monkeypatch.setattr(ngram_join, "candidate_cells", lambda *a: seen.append((a, cells(*a))) or seen[-1][1])
+    got = ngram_join.similar_groups(docs(spark, rows), "doc_id", "text")[0]
+    assert Counter(rows_of(got)) == plain_links(rows)
+    (classes, _, groups), placed = seen[0]
+    bands = {r.band for r in placed.collect()}
+    assert -1 in bands and len(bands) > 10
+    chain = groups.groupBy("label").count().orderBy(F.desc("count")).first()["count"]
+    assert chain == 300 and classes.count() == 320
+    sizes = placed.where("band >= 0 and i = j and block = i").groupBy("band", "cell").agg(F.countDistinct("node").alias("n"))
+    done = sizes.agg(F.sum(F.col("n") * F.col("n"))).first()[0]
+    print("comparisons", done, chain ** 2)
+    assert done < chain ** 2 / 2
+
+
+def test_blocks_by_shingles(spark, monkeypatch):
+    """Long texts make more blocks; results stay."""
+    rnd = random.Random(13)
+    long = [f"w{rnd.randint(0, 90000)}" for _ in range(3000)]
+    rows = [(k, " ".join(long[:-1] + [f"z{k}"])) for k in range(9)] + [(20, "a b c d e f g"), (21, "a b c d e f g!")]
+    placed = []
+    cells = ngram_join.candidate_cells
+    monkeypatch.setattr(ngram_join, "candidate_cells", lambda *a: placed.append(cells(*a)) or placed[-1])
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 9000)
+    got = ngram_join.similar_groups(docs(spark, rows), "doc_id", "text")[0]
+    assert Counter(rows_of(got)) == plain_links(rows)
+    assert placed[0].agg(F.max("j")).first()[0] == 2
+
+
 def test_near_duplicates_of_signs_and_marks(spark):
     worded = ["\U0001f600\U0001f601", "\u2460\u2461", "\u00bd", "plain words"]
     without = ["\u0301\u0301", "\u203f", "...", "", None]
