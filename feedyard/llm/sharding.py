@@ -8,9 +8,11 @@ interval reaches the driver), and the next candidates refine the intervals
 that hold a target. A splitter is done when its interval's bytes are within
 the tolerance or it holds a single row; a group of equal texts that is larger
 than the tolerance is refined by row number, so a hot group is cut over
-shards. The same search places finer cuts inside each shard, and only then
-rows are exchanged, once, by fine interval; slots are the interval's offset
-plus a local row number, so no task sorts a whole shard.
+shards. The same search places finer cuts inside each shard, as many as the
+bytes of all rows ask for (``PART_BYTES``), and only then rows are exchanged,
+once, by fine interval; slots are the interval's offset plus a local row
+number, so no task sorts a whole shard. A round counts about ``CANDIDATES``
+keys, or two for each interval that is still open if those are more.
 
 Law ``bytes``: shard sizes are near equal, each boundary off by at most the
 tolerance or half a row. Defined results: null texts have no bytes and count
@@ -32,23 +34,29 @@ from pyspark.sql import functions as F
 from feedyard.llm.common import landed
 
 LOWEST = -(1 << 63)
-#: Candidate keys per open splitter and round.
+#: Candidate keys per open interval and round, at most.
 PROBES = 32
+#: Candidate keys of a round, about: what reaches the driver.
+CANDIDATES = 200_000
 #: Allowed error of a shard boundary, as a part of a shard's bytes.
 TOLERANCE = 0.001
-#: Fine intervals per shard: the unit of the exchange and of the slot sort.
+#: Fine intervals per shard, at least, and their bytes, about: the unit of the
+#: exchange and of the slot sort.
 FINE = 16
+PART_BYTES = 512 << 20
 
 Key = tuple[int, int]
 
 
-def _interval(cuts: list[Key]):
-    """(key, row) -> number of cuts at or below it, for sorted cuts."""
+def _interval(cuts: list[Key], offsets: list[int] | None = None):
+    """(key, row) -> number of cuts at or below it, for sorted cuts (at), and
+    the offset of that interval (start)."""
     keys = np.array([k for k, _ in cuts], dtype=np.int64)
     rows = np.array([r for _, r in cuts], dtype=np.int64)
+    starts = np.array(offsets or np.zeros(len(cuts) + 1), dtype=np.int64)
 
-    @F.pandas_udf("int")
-    def interval(key: pd.Series, row: pd.Series) -> pd.Series:
+    @F.pandas_udf("at int, start long")
+    def interval(key: pd.Series, row: pd.Series) -> pd.DataFrame:
         k, r = key.to_numpy(), row.to_numpy()
         lo, hi = np.searchsorted(keys, k, "left"), np.searchsorted(keys, k, "right")
         at = hi.copy()
@@ -56,7 +64,7 @@ def _interval(cuts: list[Key]):
         for first in np.unique(lo[same]):
             here = same & (lo == first)
             at[here] = first + np.searchsorted(rows[first:hi[here][0]], r[here], "right")
-        return pd.Series(at.astype(np.int32))
+        return pd.DataFrame({"at": at.astype(np.int32), "start": starts[at]})
 
     return interval
 
@@ -87,23 +95,28 @@ class _Bracket:
         return [(k0, r) for i in range(1, n + 1) if r0 < (r := r0 + (r1 - r0) * i // (n + 1)) < r1] + [(k0, r0 + 1)]
 
 
-def find_cuts(keys: DataFrame, parts: int, tight: int) -> tuple[list[Key], list[int]]:
-    """Cuts of (key, row) into ``parts`` near equal parts by ``size``, and the rows before each part.
+def find_cuts(keys: DataFrame, n_shards: int) -> tuple[list[Key], list[int], int]:
+    """Cuts of (key, row) into near equal parts by ``size``, the rows before
+    each part, and the number of parts in a shard.
 
-    Every ``tight``-th cut meets TOLERANCE of a shard's bytes, the others a
-    quarter of a fine part.
+    Cuts between shards meet TOLERANCE of a shard's bytes, the others a
+    quarter of a part.
     """
     ends = keys.agg(F.sum("size"), F.count("size"), F.min("key"), F.max("key")).first()
     total, n_rows = int(ends[0] or 0), int(ends[1])
+    tight = max(FINE, -(-total // (n_shards * PART_BYTES)))
+    parts = n_shards * tight
     if not n_rows:
-        return [], [0]
+        return [], [0], tight
     first, last = (int(ends[2]), LOWEST), (int(ends[3]) + 1, LOWEST)
     targets = [total * i / parts for i in range(1, parts)]
     slack = [TOLERANCE * total * tight / parts if i % tight == 0 else total / parts / 4 for i in range(1, parts)]
     found = [_Bracket(first, last, 0, total, 0, n_rows) for _ in targets]
     while open_ := [i for i, b in enumerate(found) if not b.done(slack[i])]:
-        cuts = sorted({p for i in open_ for p in found[i].probes(PROBES)})
-        held = keys.groupBy(_interval(cuts)(F.col("key"), F.col("row")).alias("i")).agg(
+        apart = {(b.low, b.high): b for b in (found[i] for i in open_)}
+        n = max(1, min(PROBES, CANDIDATES // len(apart)))
+        cuts = sorted({p for b in apart.values() for p in b.probes(n)})
+        held = keys.groupBy(_interval(cuts)(F.col("key"), F.col("row"))["at"].alias("i")).agg(
             F.sum("size").alias("bytes"), F.count("size").alias("rows"),
             F.min("key"), F.max("key"), F.min("row"), F.max("row"),
         ).collect()
@@ -129,7 +142,7 @@ def find_cuts(keys: DataFrame, parts: int, tight: int) -> tuple[list[Key], list[
         near_low = t - b.below_low <= b.below_high - t
         cuts.append(b.low if near_low else b.high)
         before.append(b.rows_low if near_low else b.rows_high)
-    return cuts, before
+    return cuts, before, tight
 
 
 def shard_rows(
@@ -150,15 +163,14 @@ def shard_rows(
         F.xxhash64(text).alias("key"),
         F.monotonically_increasing_id().alias("row"),
     ), "shard-keys")
-    fine, before = find_cuts(keys, n_shards * FINE, FINE)
-    part_of = _interval(fine)(F.col("key"), F.col("row")) if fine else F.lit(0)
-    shard_start = [before[min(s * FINE, len(before) - 1)] for s in range(n_shards)]
-    offset = [b - shard_start[min(i // FINE, n_shards - 1)] for i, b in enumerate(before)]
-    offsets = F.array(*[F.lit(int(o)) for o in offset]).cast("array<bigint>")
+    cuts, before, fine = find_cuts(keys, n_shards)
+    shard_start = [before[min(s * fine, len(before) - 1)] for s in range(n_shards)]
+    offsets = [b - shard_start[min(i // fine, n_shards - 1)] for i, b in enumerate(before)]
     local = F.row_number().over(Window.partitionBy("part").orderBy("key", "row"))
-    return keys.withColumn("part", part_of).select(
+    placed = keys.withColumn("to", _interval(cuts, offsets)(F.col("key"), F.col("row"))).withColumn("part", F.col("to.at"))
+    return placed.withColumn("local", local).select(
         F.col("id").alias(id_col), "size", "text_crc32",
-        F.floor(F.col("part") / FINE).cast("int").alias("shard"),
-        (F.get(offsets, F.col("part")) + local - 1).cast("long").alias("slot"),
+        F.floor(F.col("part") / fine).cast("int").alias("shard"),
+        (F.col("to.start") + F.col("local") - 1).cast("long").alias("slot"),
         *(["carried"] if carry else []),
     )

@@ -189,6 +189,30 @@ def test_shards(spark, hot):
     assert sharding.shard_rows(made.limit(0), "doc_id", "text", 7).count() == 0
 
 
+@pytest.mark.parametrize("part_bytes, candidates", [(1 << 40, 200_000), (700, 8)])
+def test_shards_against_a_plain_model(spark, monkeypatch, part_bytes, candidates):
+    """Shards are runs of the key order cut nearest to equal bytes; slots count within them, however fine the parts."""
+    monkeypatch.setattr(sharding, "PART_BYTES", part_bytes)
+    monkeypatch.setattr(sharding, "CANDIDATES", candidates)
+    rnd = random.Random(7)
+    rows = [(k, f"{k} " + "x" * rnd.randint(0, 900)) for k in range(900)] + [(2000, "long " * 3000)]
+    made = docs(spark, rows)
+    n = 5
+    got = {r.doc_id: (r.shard, r.slot) for r in sharding.shard_rows(made, "doc_id", "text", n, row_cost=16).collect()}
+    keyed = rows_of(made.select(F.xxhash64("text"), "doc_id", F.octet_length("text") + 16))
+    total, below, shard, slots = sum(s for *_, s in keyed), 0, 0, Counter()
+    for _, doc_id, size in sorted(keyed):
+        at, slot = got[doc_id]
+        for s in range(shard, at):  # the cut before this row is off by half a row and the tolerance at most
+            assert abs(below - total * (s + 1) / n) <= max(size, before) / 2 + sharding.TOLERANCE * total / n + 1
+        assert at >= shard and slot == slots[at]
+        shard, before, below = at, size, below + size
+        slots[at] += 1
+    assert shard == n - 1 and len(got) == len(rows)
+    _, _, fine = sharding.find_cuts(spark.createDataFrame(keyed, "key long, row long, size long"), n)
+    assert fine == max(sharding.FINE, -(-total // (n * part_bytes)))
+
+
 # --- op5 -------------------------------------------------------------------
 tokenizers = pytest.importorskip("tokenizers")
 VOCAB = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
