@@ -31,6 +31,8 @@ def windows_for(df: DataFrame, date_col: Column | str) -> DataFrame:
 #: A cell of level k is 2 ^ (CELL_BITS x k) days wide: 1, 32, 1,024, 32,768.
 CELL_BITS = 5
 LEVELS = 4
+#: Cells up to which Spark may send the windows to every task: what a driver holds easily.
+FEW_CELLS = 100_000
 
 
 def window_cells(windows: DataFrame) -> DataFrame:
@@ -81,11 +83,18 @@ def assign_windows(df: DataFrame, date_col: Column | str, windows: DataFrame,
     window) pair once. Windows of up to a month cost one lookup a record.
     Records outside every window are dropped here and returned by
     ``unassigned``. Windows with a null or reversed range hold nothing.
+
+    Spark takes the cells for as small as the windows they are cut from and
+    would broadcast them through the driver: they are counted, and beyond
+    ``FEW_CELLS`` both sides are shuffled.
     """
     by = by or []
     keyed = window_cells(windows.select(*by, "window_start", "window_end", "is_last"))
-    # the widths that occur: a handful of numbers, from the small table
-    levels = sorted(r[0] for r in keyed.select("_level").distinct().collect()) or [0]
+    # the widths that occur, and their cells: a handful of numbers
+    counts = {r[0]: r[1] for r in keyed.groupBy("_level").count().collect()}
+    levels = sorted(counts) or [0]
+    if sum(counts.values()) > FEW_CELLS:
+        keyed = keyed.hint("shuffle_merge")
     day = F.unix_date(F.to_date(_c(date_col)))
     places = [F.struct(F.lit(k).alias("_level"), F.shiftright(day, CELL_BITS * k).alias("_cell")) for k in levels]
     at = F.explode(F.array(*places)) if len(places) > 1 else places[0]
