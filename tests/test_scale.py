@@ -2,9 +2,32 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
+from feedyard.operators import paging
+from feedyard.operators.paging import row_numbers
 from feedyard.operators.windows import assign_windows, unassigned
+from feedyard.session import scratch_path
+from feedyard.sinks.table import VersionedTable
+from feedyard.sources.envelopes import land_envelopes, read_documents
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Tables too large for a broadcast that Spark chooses itself."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_many_cells_are_not_broadcast(spark):
@@ -14,7 +37,7 @@ def test_many_cells_are_not_broadcast(spark):
         F.lit("2024-03-05").cast("date").alias("window_end"), F.lit(False).alias("is_last"))
     recs = spark.range(6000).select("id", (F.col("id") % 3000).alias("g"), F.date_add(F.lit("2019-12-20").cast("date"), (F.col("id") % 50).cast("int")).alias("d"))
     hit = assign_windows(recs, "d", windows, ["g"])
-    assert "BroadcastHashJoin" not in hit._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan_of(hit)
     start = {r.g: r.window_start for r in windows.collect()}
     rows = recs.collect()
     want = sorted(r.id for r in rows if r.d >= start[r.g])
@@ -22,4 +45,31 @@ def test_many_cells_are_not_broadcast(spark):
     assert sorted(r.id for r in unassigned(recs, "d", windows, ["g"]).collect()) == sorted({r.id for r in rows} - set(want))
     # few cells are still sent to the records
     few = assign_windows(recs, "d", windows.where("g < 3"), ["g"])
-    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan_of(few)
+
+
+@pytest.mark.parametrize("parts", [None, 5])
+def test_row_numbers_move_what_is_wanted_once(spark, no_broadcast, parts):
+    rows = spark.range(400).select((F.col("id") % 3).alias("g"), (F.col("id") * 7919 % 400).alias("o"), F.col("id").alias("v"),
+                                   F.lit("x").alias("unused"))
+    rows = rows.withColumn("g", F.when(F.col("g") > 0, F.col("g")))
+    got = row_numbers(rows, ["g"], [F.col("o")], num_partitions=parts, keep=["v"])
+    assert got.columns == ["g", "v", "rn"]
+    want = {}
+    for g in (None, 1, 2):
+        for n, (_, v) in enumerate(sorted((r.o, r.v) for r in rows.collect() if r.g == g), start=1):
+            want[v] = (g, n)
+    assert {r.v: (r.g, r.rn) for r in got.collect()} == want
+    if parts:
+        assert "BroadcastHashJoin" in plan_of(got) and "SortMergeJoin" not in plan_of(got)
+        assert spark.read.parquet(*got.inputFiles()).columns == ["g", "v", "_pid", "_idx"]
+        every = row_numbers(rows, ["g"], ["o"], num_partitions=parts)  # without keep all columns stay
+        assert sorted(every.columns) == ["g", "o", "rn", "unused", "v"]
+        assert {r.v: (r.g, r.rn) for r in every.collect()} == want
+
+
+def test_many_groups_are_not_broadcast(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(paging, "FEW_COUNTS", 10)
+    got = row_numbers(spark.range(100).select("id", (F.col("id") % 50).alias("g")), ["g"], ["id"], num_partitions=3)
+    assert "BroadcastHashJoin" not in plan_of(got)
+    assert sorted((r.g, r.rn) for r in got.collect()) == [(g, n) for g in range(50) for n in (1, 2)]
