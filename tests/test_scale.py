@@ -73,3 +73,16 @@ def test_many_groups_are_not_broadcast(spark, no_broadcast, monkeypatch):
     got = row_numbers(spark.range(100).select("id", (F.col("id") % 50).alias("g")), ["g"], ["id"], num_partitions=3)
     assert "BroadcastHashJoin" not in plan_of(got)
     assert sorted((r.g, r.rn) for r in got.collect()) == [(g, n) for g in range(50) for n in (1, 2)]
+
+
+def test_a_written_bucket_is_not_shuffled(spark):
+    """Every task writes its own share of each bucket."""
+    table = VersionedTable(spark, scratch_path(spark, "test-scale"), ["k"], n_buckets=2)
+    rows = spark.range(0, 1000, 1, 4).select(F.when(F.col("id") % 10 > 0, F.col("id")).alias("k"), F.lit("v").alias("v"))
+    table.publish(rows, mode="append")
+    files = table.read().inputFiles()
+    assert len([f for f in files if "_bucket=0/" in f]) == 4 and len([f for f in files if "_bucket=-1/" in f]) == 4
+    table.publish(spark.createDataFrame([(1, "new")], "k long, v string"), order=["v"])
+    table.rebucket(3)
+    got = sorted((r.k, r.v) for r in table.read().where("k is not null").collect())
+    assert got == [(k, "new" if k == 1 else "v") for k in range(1000) if k % 10] and table.read().where("k is null").count() == 100
