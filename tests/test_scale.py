@@ -86,3 +86,22 @@ def test_a_written_bucket_is_not_shuffled(spark):
     table.rebucket(3)
     got = sorted((r.k, r.v) for r in table.read().where("k is not null").collect())
     assert got == [(k, "new" if k == 1 else "v") for k in range(1000) if k % 10] and table.read().where("k is null").count() == 100
+
+
+def document(window, n, numbers):
+    return json.dumps({"feed": "developers", "run": None, "window_start": window, "page_no": n,
+                       "response": {"result": [{"DEVELOPER_NUMBER": str(x)} for x in numbers]}})
+
+
+def test_documents_meet_their_stops_without_a_shuffle(spark, no_broadcast, monkeypatch):
+    from feedyard.plans import run
+    docs = [document("2024-01-01", 0, [1]), document("2024-01-01", 1, []), document("2024-01-01", 2, [2]), document("2024-02-01", 5, [3]),
+            document(None, 0, [4]), document(None, 1, []), document(None, 2, [5])]
+    pages = spark.createDataFrame([("developers", d) for d in docs], "feed string, value string")
+    landed = land_envelopes(pages, scratch_path(spark, "test-landed"))
+    plans, staged = [], run.staged_rows
+    monkeypatch.setattr(run, "staged_rows", lambda documents, *a: plans.append(plan_of(documents)) or staged(documents, *a))
+    table = run.WideTable(spark, scratch_path(spark, "test-scale"), n_buckets=2)
+    run.ingest_run(spark, landed, table, "r1", dt.datetime(2024, 5, 1), scratch_path(spark, "rejects"))
+    assert sorted(r.developer_number for r in table.read().collect()) == ["1", "3", "4"]
+    assert len(plans) == 1 and "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
