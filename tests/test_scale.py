@@ -105,3 +105,11 @@ def test_documents_meet_their_stops_without_a_shuffle(spark, no_broadcast, monke
     run.ingest_run(spark, landed, table, "r1", dt.datetime(2024, 5, 1), scratch_path(spark, "rejects"))
     assert sorted(r.developer_number for r in table.read().collect()) == ["1", "3", "4"]
     assert len(plans) == 1 and "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
+
+
+def test_landed_documents_are_compressed(spark):
+    docs = [document("2024-01-01", n, range(100)) for n in range(20)]
+    landed = land_envelopes(spark.createDataFrame([("developers", d) for d in docs], "feed string, value string"), scratch_path(spark, "test-landed"))
+    text = read_documents(spark, f"{landed}/feed=developers")
+    assert all(f.endswith(".gz") for f in text.inputFiles())
+    assert sorted(r.value for r in text.collect()) == sorted(docs)
