@@ -12,11 +12,13 @@ from feedyard.demos.registry import demo
 from feedyard.session import scratch_path, use_utc
 from feedyard.sinks.table import VersionedTable
 from feedyard.sources.envelopes import land_envelopes
-from feedyard.sources.fixtures import table
+from feedyard.sources.fixtures import FIXTURES, table
 from feedyard.streaming.ingest import stream_dedupe, stream_ingest, stream_until_empty
 from feedyard.streaming.recent import stream_dedupe_recent
 
 COLS = ["app_number", "registration_date", "end_date", "transaction_type", "usage_", "contract_amount", "no_of_units"]
+#: Records whose pages one landed file holds.
+RECORDS_PER_FILE = 250_000
 
 
 # -- O42 ---------------------------------------------------------------------
@@ -60,7 +62,7 @@ FROM (SELECT concat(l_orderkey, '-', l_linenumber) AS app_number,
       WHERE page < 2 + month(l_shipdate) % 3)
 WHERE rn = 1""")
 def stream_until_empty_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rents pages land shuffled over files, a micro-batch each; every window
+    """Rents pages land shuffled over files, in four micro-batches; every window
     has an empty page among them, after its second to fourth page, and what
     lies above it must not come in."""
     use_utc(spark)
@@ -72,11 +74,13 @@ def stream_until_empty_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.struct(F.array().cast("array<string>").alias("result")).alias("response"))).alias("value"))
     docs = pages.where(F.col("page_no") != last).unionByName(empty)
     landed = scratch_path(spark, "landed")
-    land_envelopes(docs.repartition(4, F.xxhash64("value")), landed)
+    # four micro-batches; a file holds what one task can, however large the table is
+    files = -(-table(spark, sf_dir, FIXTURES["rents"].table).count() // (4 * RECORDS_PER_FILE)) or 1
+    land_envelopes(docs.repartition(4 * files, F.xxhash64("value")), landed)
     tbl = VersionedTable(spark, scratch_path(spark, "tables"), ["app_number"], n_buckets=16)
     q = stream_until_empty(spark, f"{landed}/feed=rents", "rents", tbl, checkpoint=scratch_path(spark, "checkpoints"),
                            rejects_dir=scratch_path(spark, "rejects"), run_id="run-1", as_of="2024-05-01T08:00:00",
-                           max_files_per_trigger=1)
+                           max_files_per_trigger=files)
     q.awaitTermination()
     if q.exception():
         raise q.exception()

@@ -113,3 +113,18 @@ def test_landed_documents_are_compressed(spark):
     text = read_documents(spark, f"{landed}/feed=developers")
     assert all(f.endswith(".gz") for f in text.inputFiles())
     assert sorted(r.value for r in text.collect()) == sorted(docs)
+
+
+def test_landed_files_grow_in_number(spark, monkeypatch):
+    """A larger table lands in more files, in as many micro-batches."""
+    from conftest import SF_SMALL
+    from feedyard.demos import streams
+    landed, started = [], []
+    land, start = streams.land_envelopes, streams.stream_until_empty
+    monkeypatch.setattr(streams, "land_envelopes", lambda docs, path: landed.append(docs.rdd.getNumPartitions()) or land(docs, path))
+    monkeypatch.setattr(streams, "stream_until_empty", lambda *a, **k: started.append(k["max_files_per_trigger"]) or start(*a, **k))
+    plain = sorted(map(tuple, streams.stream_until_empty_demo(spark, SF_SMALL).collect()))
+    monkeypatch.setattr(streams, "RECORDS_PER_FILE", 500)
+    assert sorted(map(tuple, streams.stream_until_empty_demo(spark, SF_SMALL).collect())) == plain
+    n = -(-spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count() // 2000)
+    assert n > 1 and landed == [4, 4 * n] and started == [1, n]
