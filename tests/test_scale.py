@@ -12,6 +12,7 @@ from feedyard.operators import paging
 from feedyard.operators.paging import row_numbers
 from feedyard.operators.windows import assign_windows, unassigned
 from feedyard.session import scratch_path
+from feedyard.sinks import table as sink
 from feedyard.sinks.table import VersionedTable
 from feedyard.sources.envelopes import land_envelopes, read_documents
 
@@ -88,6 +89,33 @@ def test_a_written_bucket_is_not_shuffled(spark):
     assert got == [(k, "new" if k == 1 else "v") for k in range(1000) if k % 10] and table.read().where("k is null").count() == 100
 
 
+@pytest.mark.parametrize("few", [0, 100])
+@pytest.mark.parametrize("created", [False, True])
+def test_merged_tables_are_not_broadcast(spark, monkeypatch, few, created):
+    """Compressed files tell little of the rows in them: stored keys never go through the driver, a batch's only if they were counted."""
+    monkeypatch.setattr(sink, "FEW_KEYS", few)
+    plans, write = [], VersionedTable._write
+    monkeypatch.setattr(VersionedTable, "_write", lambda self, rows, *a, **k: plans.append(plan_of(rows)) or write(self, rows, *a, **k))
+    key, at = F.when(F.col("id") % 10 > 0, F.col("id")).alias("k"), [dt.datetime(2024, 1, n) for n in (1, 2, 3)]
+
+    def rows(lo, hi, said, n):
+        return spark.range(lo, hi).select(key, F.lit(said).alias("v"), *([F.lit(at[n]).alias("created_at")] if created else []))
+
+    table = VersionedTable(spark, scratch_path(spark, "test-scale"), ["k"], n_buckets=4)
+    table.publish(rows(0, 200, "old", 0), order=["v"], keep_created=created)
+    table.merge(rows(150, 210, "new", 1), order=["v"])
+    table.merge(rows(180, 220, "kept", 2), order=["v"], mode="keep")
+    assert len(plans) == 3
+    for plan in [*plans, plan_of(table.read())]:
+        # the stored side is never built: of both merges only the batch's keys are, where they are few
+        assert ("BroadcastHashJoin" in plan) == (few > 0 and plan in plans[1:])
+    want = {k: ("old", 0) if k < 150 else ("new", 0 if k < 200 else 1) if k < 210 else ("kept", 2) for k in range(220) if k % 10}
+    got = table.read().collect()
+    assert {r.k: (r.v, at.index(r.created_at)) if created else (r.v, want[r.k][1]) for r in got if r.k is not None} == want
+    assert len([r for r in got if r.k is not None]) == len(want)
+    assert sorted(r.v for r in got if r.k is None) == ["kept"] * 4 + ["new"] * 6 + ["old"] * 20
+
+
 def document(window, n, numbers):
     return json.dumps({"feed": "developers", "run": None, "window_start": window, "page_no": n,
                        "response": {"result": [{"DEVELOPER_NUMBER": str(x)} for x in numbers]}})
