@@ -48,6 +48,19 @@ def test_iso_to_epoch(spark):
     assert [(r.e, r.m) for r in rows] == [(1706696430, False), (0, False), (0, False), (None, True)]
 
 
+def test_usual_iso_text_reads_as_the_format_does(spark):
+    """The cast that usual text takes agrees with the formatter, and no other text takes it."""
+    import itertools
+    texts = [f"{y}-{m}-{d}T{t}" for y, m, d, t in itertools.product(
+        ("0000", "0001", "1582", "1900", "2000", "2023", "9999"), ("00", "02", "10", "13"), ("00", "01", "10", "29", "30", "32"),
+        ("00:00:00", "23:59:59", "24:00:00", "10:60:00", "10:00:60"))]
+    texts += ["2024-01-01T00:00:0Z", "2024-01-01T00:00:5.", "2024-01-01 00:00:00", "2024-1-01T00:00:00Z", "2024-01-01T00:00:00\n", " 2024-01-01T00:00:00",
+              "2024-01-01T00:00:00Z", "2024-01-01T00:00:00.5", "2024-01-01", "12024-01-01T00:00:00", "-2024-01-01T00:00:00", "\u0662024-01-01T00:00:00", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", D.iso_timestamp("t").cast("string").alias("got"), F.try_to_timestamp("t", F.lit("yyyy-MM-dd'T'HH:mm:ss")).cast("string").alias("want")).collect()
+    assert [r for r in got if r.got != r.want] == [] and 0 < len([r for r in got if r.want]) < len(got)
+
+
 def test_month_ends(spark):
     df = spark.createDataFrame([(d(2024, 1, 15), d(2024, 3, 20))], "s date, e date")
     assert df.select(D.month_ends("s", "e").alias("x")).first().x == [d(2024, 1, 31), d(2024, 2, 29), d(2024, 3, 20)]
