@@ -193,10 +193,12 @@ class Predictor:
 def _identify(pickled, sure_from: float):
     """Predicts every row and passes on those with letters; the last two
     columns are the text and the label. The label becomes the prediction where
-    it is null, or contradicted with a score from ``sure_from`` on."""
+    it is null, or a learned language contradicted with a score from
+    ``sure_from`` on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pickle.loads(pickled.value)
         predictor = Predictor(model) if model is not None else None
+        learned = {lang for m in model.members.values() for lang in m.classes} if model is not None else set()
         for batch in batches:
             texts, labels = batch.columns[-2].to_pylist(), batch.columns[-1].to_pylist()
             kept = [has_letters(t) for t in texts]
@@ -204,7 +206,7 @@ def _identify(pickled, sure_from: float):
             for k, (text, label, keep) in enumerate(zip(texts, labels, kept)):
                 if predictor and keep:
                     lang, score = predictor.predict(text)
-                    if label is None or score >= sure_from:
+                    if label is None or label in learned and score >= sure_from:
                         said[k] = lang
             filled = pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(said, batch.columns[-1].type)], schema=batch.schema)
             yield filled.filter(pa.array(kept, pa.bool_()))
@@ -253,7 +255,8 @@ def keep_identified(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
 
     Every text is predicted. ``lang_col`` becomes the predicted language where
     it is null, or where the prediction contradicts it with a score of
-    ``sure_from`` or more; if nothing could be learned it stays as it is.
+    ``sure_from`` or more. A language that was not learned is never predicted,
+    so its labels are not contradicted; if nothing could be learned all stay.
     """
     model = _learned(docs, id_col, text_col, lang_col, may_train, per_language)
     # text and label come twice: in their places, and last for the predictor
